@@ -100,10 +100,10 @@ def hamming_links(fps: DataFrame) -> DataFrame:
     links = pairs.select("a", "b").distinct()
     if n:
         crowd = keep(asked.where(F.col("homes") > CROWD).groupBy("half", "cell").agg(F.count("*").alias("askers"), F.first("homes").alias("homes")))
-        crowd = crowd.select("half", "cell", F.ceil(F.col("homes") / BLOCK).cast("int").alias("nh"), F.ceil(F.col("askers") / BLOCK).cast("int").alias("na"))
+        crowd = crowd.select("half", "cell", F.ceil(F.col("homes") / BLOCK).alias("nh"), F.ceil(F.col("askers") / BLOCK).alias("na"))
         crowd = if_small(crowd, n, SMALL)
-        homes = cells.join(crowd, ["half", "cell"]).select("half", "cell", F.pmod(F.xxhash64("fp"), F.col("nh")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("na") - 1)).cast("long").alias("j"), "fp", F.lit(True).alias("home"))
-        callers = asks.join(crowd, ["half", "cell"]).select("half", "cell", F.explode(F.sequence(F.lit(0), F.col("nh") - 1)).cast("long").alias("i"), F.pmod(F.xxhash64("fp"), F.col("na")).alias("j"), "fp", F.lit(False).alias("home"))
+        homes = cells.join(crowd, ["half", "cell"]).select("half", "cell", F.pmod(F.xxhash64("fp"), F.col("nh")).alias("i"), F.explode(F.expr("sequence(0L, na - 1)")).alias("j"), "fp", F.lit(True).alias("home"))
+        callers = asks.join(crowd, ["half", "cell"]).select("half", "cell", F.explode(F.expr("sequence(0L, nh - 1)")).alias("i"), F.pmod(F.xxhash64("fp"), F.col("na")).alias("j"), "fp", F.lit(False).alias("home"))
         links = links.unionByName(homes.unionByName(callers).groupBy("half", "cell", "i", "j").applyInPandas(_forest, "a long, b long").where("a <> b"))
     return links
 
