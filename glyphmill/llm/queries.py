@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, line_dedup, mixing, quotes, simhash, toxicity
+from . import decontaminate, line_dedup, mixing, quotes, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_simhash": simhash.op4_simhash,
+    "op6_substrings": substrings.op6_substrings,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op9_mixing": mixing.op9_mixing,
     "op10_quotes": quotes.op10_quotes,
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": line_dedup.SQL,
+    "op6_substrings": substrings.SQL,
     "op7_decontaminate": decontaminate.SQL,
     "op9_mixing": mixing.SQL,
 }
