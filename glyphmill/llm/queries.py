@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, line_dedup, mixing, quotes, simhash, substrings, toxicity
+from . import ann, decontaminate, line_dedup, mixing, quotes, simhash, substrings, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_simhash": simhash.op4_simhash,
+    "op5_suffixes": suffix_dedup.op5_suffixes,
     "op6_substrings": substrings.op6_substrings,
     "op7_decontaminate": decontaminate.op7_decontaminate,
+    "op8_neighbours": ann.op8_neighbours,
     "op9_mixing": mixing.op9_mixing,
     "op10_quotes": quotes.op10_quotes,
 }
