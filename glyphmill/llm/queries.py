@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, decontaminate, line_dedup, mixing, quotes, simhash, substrings, suffix_dedup, toxicity
+from . import ann, decontaminate, language_model, line_dedup, mixing, quotes, simhash, substrings, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_language_model": language_model.op2_language_model,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_simhash": simhash.op4_simhash,
     "op5_suffixes": suffix_dedup.op5_suffixes,
