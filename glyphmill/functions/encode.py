@@ -177,7 +177,7 @@ def mime(raw: bytes, plan: Plan) -> bytes:
     newline = plan.eol or b"\n"
     if plan.mime_out == "B":
         lines = [base64.b64encode(raw[k : k + 54]) for k in range(0, len(raw), 54)]
-        return newline.join(lines) + (newline if lines and len(raw) % 54 == 0 and False else b"")
+        return newline.join(lines) + (newline if lines and len(raw) % 54 == 0 else b"")  # a full line ends, a padded one doesn't
     if plan.mime_out == "Q":
         out, used = bytearray(), 0
         for c in raw:

@@ -102,7 +102,7 @@ on_documents("swap_kana_native", lambda t: N.swap_kana(in_kana(t, HIRA)), _kana_
 on_documents("rot13_native", N.rot13, f"translate(text, '{LETTERS}{LETTERS.upper()}', '{LETTERS[13:]}{LETTERS[:13]}{LETTERS[13:].upper()}{LETTERS[:13].upper()}')")
 on_documents("rot_twice", lambda t: C.transcode(C.transcode(in_kana(t, HIRA), *KEEP, "-r"), *KEEP, "-r").cast("string"), _kana_sql.format(HIRA))
 
-_each = "array_to_string(list_transform(string_split(text, ''), x -> {}), '')"
+_each = "array_to_string(list_transform(string_split(text, ''), lambda x: {}), '')"
 on_documents("utf8_bom", lambda t: C.transcode(t, "-W", "-w8", "-m0", "-x"), "'EFBBBF' || hex(encode(text))", hexed=True)
 on_documents("utf16be_bom", lambda t: C.transcode(t, "-W", "-w16", "-m0", "-x"), "'FEFF' || " + _each.format("printf('%04X', unicode(x))"), hexed=True)
 on_documents("utf16le", lambda t: C.transcode(t, "-W", "-w16L0", "-m0", "-x"), _each.format("printf('%02X%02X', unicode(x) % 256, unicode(x) // 256)"), hexed=True)
@@ -116,7 +116,7 @@ on_documents("cap_input", lambda t: C.transcode(F.regexp_replace(F.hex(F.encode(
 on_documents("numchar_input", lambda t: C.transcode(F.concat(F.lit("&#12354;"), F.lit("&#x3044;"), t), "--numchar-input", *KEEP).cast("string"), "'あい' || text")
 on_documents("nfc_input", lambda t: C.transcode(F.replace(in_kana(t, HIRA), F.lit("か"), F.lit("が")), "--utf8mac-input", *KEEP).cast("string"), f"replace({_kana_sql.format(HIRA)}, 'か', 'が')")
 on_documents("mime_decode_b", lambda t: C.transcode(F.concat(F.lit("=?UTF-8?B?"), F.replace(F.base64(F.encode(F.substring(in_kana(t, HIRA), 1, 40), "UTF-8")), F.lit("\r\n"), F.lit("")), F.lit("?=")), "-W", "-w", "-x").cast("string"), f"substring({_kana_sql.format(HIRA)}, 1, 40)")
-on_documents("base64_fixed", lambda t: C.transcode(t, "-W", "-wMB", "-m0", "-x").cast("string"), "regexp_replace(regexp_replace(base64(encode(text)), '([A-Za-z0-9+/]{72})', E'\\1\\n', 'g'), E'\\n$', '')")
+on_documents("base64_fixed", lambda t: C.transcode(t, "-W", "-wMB", "-m0", "-x").cast("string"), r"regexp_replace(base64(encode(text)), '([A-Za-z0-9+/]{72})', '\1' || chr(10), 'g')")
 for _name, _out, _in in (("sjis", "-s", "-S"), ("euc", "-e", "-E"), ("jis", "-j", "-J"), ("euc_jis_2004", "--oc=EUC-JIS-2004", "--ic=EUC-JIS-2004"), ("utf16", "-w16", "-W16")):
     on_documents(f"round_trip_{_name}", lambda t, o=_out, i=_in: C.transcode(C.transcode(F.translate(in_kana(t, HIRA), "éèêàâîïôöùûüçäßñóíáúœëüÿæ¡¿ºª«»·", ""), "-W", o, "-m0", "-x"), i, "-w", "-m0", "-x").cast("string"), f"translate({_kana_sql.format(HIRA)}, 'éèêàâîïôöùûüçäßñóíáúœëüÿæ¡¿ºª«»·', '')")
     on_documents(f"guess_{_name}", lambda t, o=_out: C.guess_encoding(C.transcode(in_kana(t, HIRA), "-W", o, "-m0", "-x")))
