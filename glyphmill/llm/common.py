@@ -64,6 +64,17 @@ def if_small(df: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def boxed(docs: DataFrame, **keys: Column) -> DataFrame:
+    """Whole rows in one column ``_row`` beside the keys, so that no column's name clashes with another's."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if docs.columns else F.struct(F.lit(0).alias("none"))
+    return docs.select(row.alias("_row"), *(c.alias(k) for k, c in keys.items()))
+
+
+def unboxed(df: DataFrame, names: list[str], **added: Column) -> DataFrame:
+    """The rows' columns again, and the added ones, which replace columns of their names."""
+    return df.select(*(F.col("_row").getField(c).alias(c) for c in names if c not in added), *(c.alias(k) for k, c in added.items()))
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BLANKS, Workspace, hash128, if_small, keep, lower_ascii, workspace
+from .common import BLANKS, Workspace, boxed, hash128, if_small, keep, lower_ascii, unboxed, workspace
 
 #: Pairs of document and dropped line up to which they are broadcast (under 50 MB), and lines likewise.
 SMALL = 300_000
@@ -123,13 +123,13 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     documents hold stays in the largest doc_id that holds it and goes from all others.
     """
     drops, pairs = drop_lists(docs, id_col, text_col, min_chars, min_docs, batches)
-    drops = drops.select(F.col("doc").alias("_doc"), F.col("drop").alias("_drop"))
-    out = docs.join(if_small(drops, pairs, SMALL), F.col(id_col).eqNullSafe(F.col("_doc")), "left")
-    lines = split_lines(F.col(text_col))
-    stays = F.filter(lines, lambda x: ~((F.length(line_key(x)) >= min_chars) & F.array_contains(F.col("_drop"), line_hash(x))))
-    kept = F.when(F.col("_drop").isNull(), lines).otherwise(stays)
-    out = out.withColumn("_kept_lines", kept)
-    return out.select(*docs.columns, F.size(lines).cast("long").alias("_n_lines"), (F.size(lines) - F.size("_kept_lines")).cast("long").alias("_n_dropped"), F.array_join("_kept_lines", "\n").alias("_kept"))
+    rows = boxed(docs, i=F.col(id_col), text=F.col(text_col)).alias("d")
+    out = rows.join(if_small(drops, pairs, SMALL).alias("x"), F.expr("d.i <=> x.doc"), "left")
+    lines = split_lines(F.col("text"))
+    stays = F.filter(lines, lambda x: ~((F.length(line_key(x)) >= min_chars) & F.array_contains(F.col("drop"), line_hash(x))))
+    out = out.withColumn("kept", F.when(F.col("drop").isNull(), lines).otherwise(stays))
+    n, left = F.size(lines).cast("long"), F.size("kept").cast("long")
+    return unboxed(out, docs.columns, _n_lines=n, _n_dropped=n - left, _kept=F.array_join("kept", "\n"))
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

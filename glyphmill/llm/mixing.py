@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import if_small, keep
+from .common import boxed, if_small, keep, unboxed
 
 #: Rows of a leaf in one hash range, and the leaves up to which their table is broadcast.
 RANGE_ROWS, SMALL = 4096, 200_000
@@ -60,7 +60,9 @@ def share(nodes: DataFrame, parent: Sequence[str], name: str) -> DataFrame:
 def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[str, int]], tokens: Column, id_col: str = "doc_id", budget_share: float = 0.8, max_epochs: int = 2, seed: str = "mix-1") -> DataFrame:
     """The selected rows of ``docs``, with ``_leaf_*`` for each level, ``_tokens`` and ``_epochs`` (how often each goes in)."""
     names = [f"_leaf_{k}" for k in levels]
-    base = docs.withColumns({f"_leaf_{k}": F.coalesce(c.cast("string"), F.lit("")) for k, c in levels.items()} | {"_tokens": tokens})
+    docs = docs.drop(*names, "_tokens", "_epochs")
+    leaf = {f"_leaf_{k}": F.coalesce(c.cast("string"), F.lit("")) for k, c in levels.items()}
+    base = boxed(docs, **leaf, _tokens=tokens, _id=F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     leaves = keep(base.groupBy(*names).agg(F.sum("_tokens").alias("cap1"), F.count("*").alias("docs")))
     budget = F.floor(F.sum("cap1") * budget_share).cast("long")
     got = leaves.agg(budget.alias("got"))
@@ -73,9 +75,9 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[str,
     plan = leaves.join(got.select(*names, "got"), names).where("cap1 > 0 and got > 0")
     plan = keep(plan.select(*names, "docs", F.expr("got div cap1").alias("_whole"), F.expr("got % cap1").alias("_part")))
     few = plan.count()
-    key = F.md5(F.encode(F.concat_ws("/", F.lit(seed), F.col("_whole").cast("string"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))), "UTF-8"))
+    key = F.md5(F.encode(F.concat_ws("/", F.lit(seed), F.col("_whole").cast("string"), F.col("_id")), "UTF-8"))
     ranges = F.floor(F.conv(F.substring("_key", 1, 8), 16, 10).cast("long") * F.ceil(F.col("docs") / RANGE_ROWS) / F.lit(2**32)).cast("long")
-    keyed = base.select(*names, id_col, "_tokens").join(if_small(plan.where("_part > 0"), few, SMALL), names)
+    keyed = base.select(*names, "_id", "_tokens").join(if_small(plan.where("_part > 0"), few, SMALL), names)
     keyed = keyed.withColumn("_key", key).withColumn("_range", ranges)
     sums = keyed.groupBy(*names, "_range").agg(F.sum("_tokens").alias("n"), F.first("_part").alias("_part"))
     upto = Window.partitionBy(*names).orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
@@ -91,7 +93,7 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[str,
     out = base.join(if_small(plan, few, SMALL), names).withColumn("_key", key).withColumn("_at", ranges)
     inside = (F.col("_part") > 0) & (F.coalesce(F.col("_at") < F.col("_range"), F.lit(False)) | F.coalesce(F.col("_key") <= F.col("_end"), F.lit(False)))
     out = out.withColumn("_epochs", F.col("_whole") + F.when(inside, 1).otherwise(0)).where("_epochs > 0")
-    return out.select(*docs.columns, *names, "_tokens", "_epochs")
+    return unboxed(out, docs.columns, **{c: F.col(c) for c in (*names, "_tokens", "_epochs")})
 
 
 #: The tree over ``documents``: source names end in a number, and its last digit stands in for a domain.

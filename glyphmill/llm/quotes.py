@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import hash128, keep, lower_ascii
+from .common import boxed, hash128, keep, lower_ascii, unboxed
 
 #: Turns in a block of the as-of search.
 BLOCK = 256
@@ -118,10 +118,12 @@ def reply_order(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     counts = links.groupBy("c", "t").agg(F.count("*").alias("_quotes"), F.count("parent").alias("_linked"))
     tree = threads(links)
     info = counts.alias("x").join(tree.alias("y"), F.expr("x.c <=> y.c and x.t = y.t"), "left")
-    info = info.select(F.col("x.c").alias("_c"), F.col("x.t").alias("_t"), "_quotes", "_linked", F.col("parent").alias("_parent"), F.col("thread").alias("_thread0"))
-    out = messages.join(info, F.col(conv).eqNullSafe(F.col("_c")) & (F.col(turn) == F.col("_t")), "left")
+    info = info.select("x.c", "x.t", "_quotes", "_linked", "parent", "thread").alias("i")
+    rows = boxed(messages, conv=F.col(conv), turn=F.col(turn), said=unquoted(F.col(text))).alias("m")
+    out = rows.join(info, F.expr("m.conv <=> i.c and m.turn = i.t"), "left")
     zero = F.lit(0).cast("long")
-    return out.select(*messages.columns, "_parent", F.coalesce("_thread0", F.col(turn)).cast("long").alias("_thread"), F.coalesce("_quotes", zero).alias("_quotes"), F.coalesce("_linked", zero).alias("_linked"), unquoted(F.col(text)).alias("_said"))
+    added = {"_parent": F.col("parent"), "_thread": F.coalesce("thread", F.col("turn")).cast("long"), "_quotes": F.coalesce("_quotes", zero), "_linked": F.coalesce("_linked", zero), "_said": F.col("said")}
+    return unboxed(out, messages.columns, **added)
 
 
 def op10_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .anchors import blocks, contested, texts_of, with_spans
-from .common import keep, workspace
+from .common import boxed, keep, unboxed, workspace
 
 #: Words in a k-mer of the anchors.
 GRAM = 11
@@ -118,7 +118,7 @@ def drop_repeated_spans(docs: DataFrame, text_col: str = "text", window: int = 3
     bare = docs.select(F.xxhash64(text).alias("t"), F.octet_length(text).alias("size"), text.alias("text"))
     spans = repeated_words(bare, window)
     names = docs.columns
-    inner = docs.select(F.struct(*[F.col(c) for c in names]).alias("row"), F.xxhash64(text).alias("t"), F.octet_length(text).alias("size"), text.alias("bytes"))
+    inner = boxed(docs, t=F.xxhash64(text), size=F.octet_length(text), bytes=text)
     joined = with_spans(inner, spans)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,11 +134,11 @@ def drop_repeated_spans(docs: DataFrame, text_col: str = "text", window: int = 3
                 kept = words if not runs else [words[i] for i in np.flatnonzero(stays)]
                 out.append((len(words), len(words) - len(kept), b" ".join(kept)))
             new = [pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.binary()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), *new], ["row", "_n_words", "_n_removed", "_kept"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *new], ["_row", "_n_words", "_n_removed", "_kept"])
 
-    kinds = T.StructType([T.StructField("row", T.StructType(docs.schema.fields)), T.StructField("_n_words", T.LongType()), T.StructField("_n_removed", T.LongType()), T.StructField("_kept", T.BinaryType())])
-    out = joined.select("row", "bytes", "spans").mapInArrow(run, kinds)
-    return out.select("row.*", "_n_words", "_n_removed", F.decode("_kept", "UTF-8").alias("_kept"))
+    kinds = T.StructType([inner.schema["_row"], T.StructField("_n_words", T.LongType()), T.StructField("_n_removed", T.LongType()), T.StructField("_kept", T.BinaryType())])
+    out = joined.select("_row", "bytes", "spans").mapInArrow(run, kinds)
+    return unboxed(out, names, _n_words=F.col("_n_words"), _n_removed=F.col("_n_removed"), _kept=F.decode("_kept", "UTF-8"))
 
 
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

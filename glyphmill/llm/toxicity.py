@@ -167,6 +167,7 @@ def fit(train: DataFrame, min_docs: int = 3, least_odds: float = 1.5) -> Model:
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``_toxicity``, from 0 to 1."""
+    docs = docs.drop("_toxicity")
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
