@@ -1,4 +1,4 @@
-"""Command line: python -m glyphmill [options] files; --guess names their encodings."""
+"""Command line: python -m glyphmill [options] files; --guess names their encodings. Without files, or for -, standard input."""
 
 from __future__ import annotations
 
@@ -6,20 +6,31 @@ import sys
 
 
 def main(args: list[str]) -> int:
-    from pyspark.sql import SparkSession
-
     from . import __version__
-    from .sources.files import convert_files, guess_files
+    from .functions.kernel import convert
+    from .functions.kernel import guess as guess_bytes
+    from .plans.plan import compile_plan
 
     if "--version" in args or "-v" in args or "--help" in args or "-V" in args:
         print(f"glyphmill {__version__}: [options] [--guess] file ...", file=sys.stderr)
         return 0
-    options = [a for a in args if a.startswith("-") and a not in ("-", "--")]
-    files = [a for a in args if not a.startswith("-")]
+    ends = args.index("--") if "--" in args else len(args)
+    options = [a for a in args[:ends] if a.startswith("-") and a != "-"]
+    files = [a for a in args[:ends] if not a.startswith("-") or a == "-"] + args[ends + 1 :]
     guess = [o for o in options if o.startswith(("--guess", "-g"))]
-    if not files:
-        print("no files", file=sys.stderr)
-        return 2
+    if files in ([], ["-"]):
+        data = sys.stdin.buffer.read()
+        if guess:
+            name, eol = guess_bytes(data, compile_plan([]).settled())
+            print(f"{name}{f' ({eol})' if eol else ''}")
+        else:
+            sys.stdout.buffer.write(convert(data, compile_plan(options).settled()) if options else data)
+        return 0
+
+    from pyspark.sql import SparkSession
+
+    from .sources.files import convert_files, guess_files
+
     spark = SparkSession.builder.getOrCreate()
     if guess:
         for r in guess_files(spark, files).orderBy("arg", "path").toLocalIterator():

@@ -197,7 +197,7 @@ def decode_words(data: bytes, plan: Plan) -> tuple[bytes, list[tuple[int, str, b
 
 
 def from_base64(body: bytes) -> bytes:
-    """Base64 of either alphabet; = ends a group, blanks are passed over, other signs count as 63."""
+    """Base64 of either alphabet; = ends a group, blanks are passed over, other bytes go on counting from the nearest range."""
     bits, n, out = 0, 0, bytearray()
     for c in body:
         if c <= 0x20:
@@ -205,7 +205,8 @@ def from_base64(body: bytes) -> bytes:
         if c == 0x3D:
             bits, n = 0, 0
             continue
-        bits, n = bits << 6 | BASE64.get(c, 63), n + 6
+        six = BASE64.get(c, (c - 0x47 if c > 0x5A else c + 4 if c > 0x2F else 63) & 63)
+        bits, n = bits << 6 | six, n + 6
         if n >= 8:
             n -= 8
             out.append(bits >> n & 0xFF)
@@ -271,7 +272,7 @@ def word_codes(raw: bytes, charset: str, plan: Plan, seen: Seen) -> list[int]:
     family = encoding.family if encoding else None
     if charset == "ISO-8859-1":
         return [c if c < 0x80 else LATIN | c & 0x7F for c in raw]
-    return body(raw, plan, family if family in EIGHT_BIT else None, seen)
+    return body(raw, plan, family if family in EIGHT_BIT and family != "jis" else None, seen)
 
 
 def body(data: bytes, plan: Plan, family: str | None, seen: Seen) -> list[int]:

@@ -32,8 +32,7 @@ def kana_tables() -> tuple[dict, dict, dict, dict]:
     half_voiced = {half[a]: code_of(b) for a, b in WITH_HALF_VOICE.items()}
     back = {v: [k] for k, v in full.items()}
     back |= {code_of(b): [half[a], VOICED] for a, b in WITH_VOICE.items()} | {code_of(b): [half[a], HALF_VOICED] for a, b in WITH_HALF_VOICE.items()}
-    small = dict(zip("ヮヰヱヵヶ", "ワイエカケ", strict=True))
-    back |= {code_of(a): [half[b]] for a, b in small.items() if b in half}
+    back |= {0x2577 + k: [half[c], HALF_VOICED] for k, c in enumerate("カキクケコセツト")}  # plane 1 of JIS X 0213
     return full, voiced, half_voiced, back
 
 
