@@ -76,6 +76,8 @@ def euc(data: bytes, plan: Plan) -> list[int]:
         elif lead == 0x8E:
             out.append(GETA if plan.strict_jis and plan.keep_kana else KANA | char[1] & 0x7F)
         elif lead == 0x8F:
+            if len(char) < 3 or min(char[1:]) < 0xA1:
+                continue
             if not plan.ibm_to_g3 and not plan.x0213 and char[1] >= 0xF5:
                 out.append(UNICODE | (char[1] - 0xF5) * 94 + char[2] - 0xA1 + 0xE3AC)
             else:

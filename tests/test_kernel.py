@@ -100,7 +100,7 @@ def test_encodings():
     assert find("x-sjis") is None and find("X-sjis").name == "Shift_JIS" and find("cp932").name == "Windows-31J"
 
 
-@settings(max_examples=200, deadline=None)
+@settings(max_examples=600, deadline=None)
 @given(st.binary(max_size=80), st.sampled_from(["-w", "-s", "-e", "-j", "-w16", "-jM", "-eMQ", "-wMB", "-sf10", "-jI", "-jB", "-wZ4h3r", "-jmN", "-w --ic=EUC-JIS-2004", "-s --numchar-input"]))
 def test_any_bytes_convert(data, options):
     assert isinstance(run(options, data), bytes)
