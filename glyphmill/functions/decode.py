@@ -67,48 +67,52 @@ def vendor(code: int, plan: Plan) -> int:
     return _sjis_code(*to_sjis(code), plan) if 0x79 <= code >> 8 <= 0x7C else code
 
 
+def each(chars: list[bytes], code_of, plan: Plan) -> list[int]:
+    """The codes of characters, each distinct one looked up once; those without a code go."""
+    known = {c: code_of(c, plan) for c in set(chars)}
+    return [k for k in map(known.__getitem__, chars) if k is not None]
+
+
 def euc(data: bytes, plan: Plan) -> list[int]:
-    out = []
-    for char in re.findall(rb"[\x00-\x7f]|\x8f..|[\x80-\xff].", data, re.S):
-        lead = char[0]
-        if lead < 0x80:
-            out.append(lead)
-        elif lead == 0x8E:
-            out.append(GETA if plan.strict_jis and plan.keep_kana else KANA | char[1] & 0x7F)
-        elif lead == 0x8F:
-            if len(char) < 3 or min(char[1:]) < 0xA1:
-                continue
-            if not plan.ibm_to_g3 and not plan.x0213 and char[1] >= 0xF5:
-                out.append(UNICODE | (char[1] - 0xF5) * 94 + char[2] - 0xA1 + 0xE3AC)
-            else:
-                code = G3 | (char[1] & 0x7F) << 8 | char[2] & 0x7F
-                out.append(vendor(code, plan) if plan.ibm_to_g3 and not plan.x0213 else code)
-        elif char[1] < 0x40:
-            continue  # no trail byte: both go
-        elif not plan.ibm_to_g3 and plan.ucs_map != "ascii" and lead >= 0xF5 and char[1] >= 0xA1:
-            out.append(UNICODE | (lead - 0xF5) * 94 + char[1] - 0xA1 + 0xE000)
-        else:
-            code = (lead & 0x7F) << 8 | char[1] & 0x7F
-            out.append(vendor(code, plan) if plan.ibm_to_g3 else code)
-    return out
+    return each(re.findall(rb"[\x00-\x7f]|\x8f..|[\x80-\xff].", data, re.S), euc_code, plan)
+
+
+def euc_code(char: bytes, plan: Plan) -> int | None:
+    lead = char[0]
+    if lead < 0x80:
+        return lead
+    if lead == 0x8E:
+        return GETA if plan.strict_jis and plan.keep_kana else KANA | char[1] & 0x7F
+    if lead == 0x8F:
+        if len(char) < 3 or min(char[1:]) < 0xA1:
+            return None
+        if not plan.ibm_to_g3 and not plan.x0213 and char[1] >= 0xF5:
+            return UNICODE | (char[1] - 0xF5) * 94 + char[2] - 0xA1 + 0xE3AC
+        code = G3 | (char[1] & 0x7F) << 8 | char[2] & 0x7F
+        return vendor(code, plan) if plan.ibm_to_g3 and not plan.x0213 else code
+    if char[1] < 0x40:
+        return None  # no trail byte: both go
+    if not plan.ibm_to_g3 and plan.ucs_map != "ascii" and lead >= 0xF5 and char[1] >= 0xA1:
+        return UNICODE | (lead - 0xF5) * 94 + char[1] - 0xA1 + 0xE000
+    code = (lead & 0x7F) << 8 | char[1] & 0x7F
+    return vendor(code, plan) if plan.ibm_to_g3 else code
 
 
 def sjis(data: bytes, plan: Plan) -> list[int]:
-    out = []
-    for char in re.findall(rb"[\x00-\x80\xa0-\xdf\xfd-\xff]|[\x80-\xff].", data, re.S):
-        lead = char[0]
-        if lead < 0x80:
-            out.append(lead)
-        elif 0xA0 <= lead <= 0xDF or plan.ucs_map == "mac" and lead >= 0xFD and len(char) == 1:
-            out.append(KANA | lead & 0x7F)
-        elif len(char) == 1 or char[1] < 0x40:
-            continue
-        elif not plan.x0213 and 0xF0 <= lead <= 0xF9 and char[1] <= 0xFC:
-            if char[1] != 0x7F:
-                out.append(UNICODE | (lead - 0xF0) * 188 + char[1] - 0x40 - (char[1] > 0x7E) + 0xE000)
-        elif char[1] <= 0xFC and (code := _sjis_code(lead, char[1], plan)):
-            out.append(code)
-    return out
+    return each(re.findall(rb"[\x00-\x80\xa0-\xdf\xfd-\xff]|[\x80-\xff].", data, re.S), sjis_char, plan)
+
+
+def sjis_char(char: bytes, plan: Plan) -> int | None:
+    lead = char[0]
+    if lead < 0x80:
+        return lead
+    if 0xA0 <= lead <= 0xDF or plan.ucs_map == "mac" and lead >= 0xFD and len(char) == 1:
+        return KANA | lead & 0x7F
+    if len(char) == 1 or not 0x40 <= char[1] <= 0xFC:
+        return None
+    if not plan.x0213 and 0xF0 <= lead <= 0xF9:
+        return None if char[1] == 0x7F else UNICODE | (lead - 0xF0) * 188 + char[1] - 0x40 - (char[1] > 0x7E) + 0xE000
+    return _sjis_code(lead, char[1], plan) or None
 
 
 def _plane2(code: int, u: int, plan: Plan) -> int:
@@ -121,26 +125,26 @@ def _plane2(code: int, u: int, plan: Plan) -> int:
 def text_codes(text: str, plan: Plan) -> list[int]:
     """Codes of Unicode text."""
     table = unicode_to_jis(ucs(plan), plan.best_fit, plan.cp932_extensions)
-    pairs = {v: k for k, v in combined().items()} if plan.x0213 else {}
-    out, at = [], 0
-    while at < len(text):
-        if pairs and text[at : at + 2] in pairs:
-            out.append(pairs[text[at : at + 2]])
-            at += 2
-            continue
-        u = ord(text[at])
-        at += 1
+
+    def code_of(char: str) -> int | None:
+        u = ord(char[0])
+        if len(char) > 1:
+            return pairs[char]
         if u < 0x80:
-            out.append(u)
-        elif 0xD800 <= u < 0xE000 or u == 0x10FFFF:
-            continue
-        else:
-            code = table.get(u)
-            if code is None or (u > 0xFFFF and not plan.x0213):
-                out.append(UNICODE | u)
-            else:
-                out.append(_plane2(code, u, plan) if G3 <= code < KANA and not plan.x0213 else code)
-    return out
+            return u
+        if 0xD800 <= u < 0xE000 or u == 0x10FFFF:
+            return None
+        code = table.get(u)
+        if code is None or (u > 0xFFFF and not plan.x0213):
+            return UNICODE | u
+        return _plane2(code, u, plan) if G3 <= code < KANA and not plan.x0213 else code
+
+    chars: list[str] | str = text
+    if plan.x0213:
+        pairs = {v: k for k, v in combined().items()}
+        chars = re.findall("|".join(map(re.escape, pairs)) + "|(?s:.)", text)
+    known = {c: code_of(c) for c in set(chars)}
+    return [k for k in map(known.__getitem__, chars) if k is not None]
 
 
 def utf8(data: bytes, plan: Plan) -> list[int]:

@@ -33,20 +33,16 @@ def instead(u: int, plan: Plan) -> list[int]:
 
 def known(codes: list[int], plan: Plan) -> list[int]:
     """Scalars looked up once more in the output's tables, and fallbacks put in."""
-    out = []
-    for c in codes:
-        if c < UNICODE:
-            out.append(c)
-            continue
+
+    def found(c: int) -> list[int]:
         u = c & 0xFFFFFF
-        found = text_codes(chr(u), plan) if u < 0x110000 else []
-        if found and found[0] < UNICODE:
-            out += found
-        elif u in USER and _user(u, plan):
-            out.append(c)
-        else:
-            out += instead(u, plan)
-    return out
+        again = text_codes(chr(u), plan) if u < 0x110000 else []
+        if again and again[0] < UNICODE:
+            return again
+        return [c] if u in USER and _user(u, plan) else instead(u, plan)
+
+    wanted = {c: found(c) for c in set(codes) if c >= UNICODE}
+    return [x for c in codes for x in (wanted[c] if c >= UNICODE else (c,))] if wanted else codes
 
 
 def _user(u: int, plan: Plan) -> bytes:
@@ -103,56 +99,59 @@ def jis(codes: list[int], plan: Plan) -> bytes:
     return bytes(out)
 
 
+def each(codes: list[int], bytes_of, plan: Plan) -> bytes:
+    """The bytes of characters, each distinct one looked up once."""
+    made = {c: bytes_of(c, plan) for c in set(codes)}
+    return b"".join(map(made.__getitem__, codes))
+
+
 def euc(codes: list[int], plan: Plan) -> bytes:
-    out = bytearray()
-    for c in codes:
-        if c < 0x80:
-            out.append(c)
-        elif c >= UNICODE:
-            out += _user(c & 0xFFFFFF, plan)
-        elif c >= LATIN:
-            out.append(c & 0x7F | 0x80)
-        elif c >= KANA:
-            out += bytes((0x8E, c & 0x7F | 0x80))
-        else:
-            if c >= G3 and not plan.invert and not plan.x0213:
-                c = vendor(c, plan)
-            if c >= G3:
-                if plan.x0212:
-                    out += bytes((0x8F, c >> 8 & 0x7F | 0x80, c & 0x7F | 0x80))
-            elif 0x21 <= c >> 8 <= 0x7E and 0x21 <= c & 0xFF <= 0x7E:
-                out += bytes((c >> 8 | 0x80, c & 0xFF | 0x80))
-    return bytes(out)
+    return each(codes, euc_bytes, plan)
+
+
+def euc_bytes(c: int, plan: Plan) -> bytes:
+    if c < 0x80:
+        return bytes((c,))
+    if c >= UNICODE:
+        return _user(c & 0xFFFFFF, plan)
+    if c >= LATIN:
+        return bytes((c & 0x7F | 0x80,))
+    if c >= KANA:
+        return bytes((0x8E, c & 0x7F | 0x80))
+    if c >= G3 and not plan.invert and not plan.x0213:
+        c = vendor(c, plan)
+    if c >= G3:
+        return bytes((0x8F, c >> 8 & 0x7F | 0x80, c & 0x7F | 0x80)) if plan.x0212 else b""
+    return bytes((c >> 8 | 0x80, c & 0xFF | 0x80)) if 0x21 <= c >> 8 <= 0x7E and 0x21 <= c & 0xFF <= 0x7E else b""
 
 
 def sjis(codes: list[int], plan: Plan) -> bytes:
-    out = bytearray()
-    for c in codes:
-        if c < 0x80:
-            out.append(c)
-        elif c >= UNICODE:
-            out += _user(c & 0xFFFFFF, plan)
-        elif c >= KANA:
-            out.append(c & 0x7F | 0x80)
-        elif c >= G3:
-            if plan.x0213:
-                raw = bytes((0x8F, c >> 8 & 0x7F | 0x80, c & 0x7F | 0x80)).decode("euc_jis_2004", "ignore").encode("shift_jis_2004", "ignore")
-                out += raw if len(raw) == 2 else b""
-            elif c in jis_to_ibm():
-                out += jis_to_ibm()[c].to_bytes(2, "big")
-        elif 0x21 <= c >> 8 <= 0x7E and 0x21 <= c & 0xFF <= 0x7E:
-            lead, trail = to_sjis(c)
-            if plan.invert and lead in (0xED, 0xEE) and not plan.x0213:
-                lead, trail = divmod(nec_to_ibm().get(lead << 8 | trail, lead << 8 | trail), 256)
-            out.append(lead)
-            if trail in plan.escapes:
-                out.append(plan.escape)
-            out.append(trail)
-    return bytes(out)
+    return each(codes, sjis_bytes, plan)
+
+
+def sjis_bytes(c: int, plan: Plan) -> bytes:
+    if c < 0x80:
+        return bytes((c,))
+    if c >= UNICODE:
+        return _user(c & 0xFFFFFF, plan)
+    if c >= KANA:
+        return bytes((c & 0x7F | 0x80,))
+    if c >= G3:
+        if not plan.x0213:
+            return jis_to_ibm()[c].to_bytes(2, "big") if c in jis_to_ibm() else b""
+        raw = bytes((0x8F, c >> 8 & 0x7F | 0x80, c & 0x7F | 0x80)).decode("euc_jis_2004", "ignore").encode("shift_jis_2004", "ignore")
+        return raw if len(raw) == 2 else b""
+    if not (0x21 <= c >> 8 <= 0x7E and 0x21 <= c & 0xFF <= 0x7E):
+        return b""
+    lead, trail = to_sjis(c)
+    if plan.invert and lead in (0xED, 0xEE) and not plan.x0213:
+        lead, trail = divmod(nec_to_ibm().get(lead << 8 | trail, lead << 8 | trail), 256)
+    return bytes((lead, plan.escape, trail)) if trail in plan.escapes else bytes((lead, trail))
 
 
 def to_text(codes: list[int], plan: Plan) -> str:
-    return "".join([unicode_of(c, plan) for c in codes])
+    made = {c: unicode_of(c, plan) for c in set(codes)}
+    return "".join(map(made.__getitem__, codes))
 
 
 def encode(codes: list[int], plan: Plan) -> bytes:

@@ -6,7 +6,7 @@ A character is an int: below 0x80 ASCII; row and cell in two bytes for a plane-1
 
 from __future__ import annotations
 
-from functools import cache
+from .once import once
 
 G3, KANA, LATIN, UNICODE = 0x8F0000, 0xA00000, 0xB00000, 0x1000000
 GETA = 0x222E
@@ -42,7 +42,7 @@ def _one(raw: bytes, codec: str) -> int:
     return ord(text) if len(text) == 1 else 0
 
 
-@cache
+@once
 def ibm_codes() -> dict[int, int]:
     """Unicode of each IBM extension of Shift_JIS, 0xFA40 to 0xFC4B."""
     out = {}
@@ -53,7 +53,7 @@ def ibm_codes() -> dict[int, int]:
     return out
 
 
-@cache
+@once
 def ibm_to_nec() -> dict[int, int]:
     """The other Shift_JIS code, outside the IBM rows, of an IBM extension."""
     other = {}
@@ -64,7 +64,7 @@ def ibm_to_nec() -> dict[int, int]:
     return {c: other[u] for c, u in ibm_codes().items() if u in other}
 
 
-@cache
+@once
 def nec_to_ibm() -> dict[int, int]:
     """What the NEC-selected codes (leads 0xED and 0xEE) are written as."""
     out, ibm = {}, {u: c for c, u in ibm_codes().items()}
@@ -75,7 +75,7 @@ def nec_to_ibm() -> dict[int, int]:
     return out
 
 
-@cache
+@once
 def ibm_to_jis() -> dict[int, int]:
     """The plane-2 code, or plane-1 code, of an IBM extension.
 
@@ -101,12 +101,12 @@ def ibm_to_jis() -> dict[int, int]:
     return out
 
 
-@cache
+@once
 def jis_to_ibm() -> dict[int, int]:
     return {j: s for s, j in reversed(ibm_to_jis().items()) if j >= G3}
 
 
-@cache
+@once
 def jis_to_unicode(which: str) -> dict[int, int]:
     """Plane 1, by mapping: ascii, ms and cp932, mac, x0213."""
     out: dict[int, int] = {}
@@ -127,7 +127,7 @@ def jis_to_unicode(which: str) -> dict[int, int]:
     return out
 
 
-@cache
+@once
 def g3_to_unicode(which: str) -> dict[int, int]:
     """Plane 2: x0213, or plain for JIS X 0212 (with the IBM extensions under "ibm")."""
     out: dict[int, int] = {}
@@ -144,7 +144,7 @@ def g3_to_unicode(which: str) -> dict[int, int]:
     return out
 
 
-@cache
+@once
 def combined() -> dict[int, str]:
     """Plane-1 codes of JIS X 0213 that are a letter and a combining mark."""
     out = {}
@@ -166,7 +166,7 @@ BEST_FIT = {
 }
 
 
-@cache
+@once
 def unicode_to_jis(which: str, best_fit: bool, extensions: bool) -> dict[int, int]:
     """Codes by Unicode scalar, beyond ASCII."""
     out: dict[int, int] = {}

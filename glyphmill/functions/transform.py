@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from functools import cache
-
 from ..plans.plan import Plan
+from .once import once
 from .tables import GETA, KANA, LATIN, UNICODE
 
 VOICED, HALF_VOICED = KANA | 0x5E, KANA | 0x5F
@@ -23,7 +22,7 @@ def code_of(char: str) -> int:
     return (raw[0] & 0x7F) << 8 | raw[1] & 0x7F
 
 
-@cache
+@once
 def kana_tables() -> tuple[dict, dict, dict, dict]:
     """Half to full, half with a mark to full (twice), and full to half."""
     full = {KANA | 0x21 + k: code_of(c) for k, c in enumerate(FULL)}
@@ -36,7 +35,7 @@ def kana_tables() -> tuple[dict, dict, dict, dict]:
     return full, voiced, half_voiced, back
 
 
-@cache
+@once
 def signs() -> dict[int, int]:
     raw = {c: c.encode("cp932") for c in SIGNS}
     from .tables import from_sjis
@@ -46,6 +45,8 @@ def signs() -> dict[int, int]:
 
 def full_width_kana(codes: list[int]) -> list[int]:
     """Half-width kana to full width; one before a sound mark joins it."""
+    if not any(KANA <= c < LATIN for c in codes):
+        return codes
     full, voiced, half_voiced, _ = kana_tables()
     out, held = [], None
     for c in codes:
