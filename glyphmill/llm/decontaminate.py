@@ -80,7 +80,7 @@ def _match(text: str | None, index: dict, starts: frozenset) -> tuple[int, set[i
     return len(w), hit, items
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = 10, block: int = 200_000) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = 10, block: int = 50_000) -> DataFrame:
     """``docs`` with ``_n_words``, ``_hit`` (the positions of words inside windows) and ``_items`` (ids, sorted)."""
     docs = docs.drop("_n_words", "_hit", "_items")
     found = keep(windows(items, item_id, item_text, n))

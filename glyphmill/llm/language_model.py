@@ -119,19 +119,27 @@ def pair_counts(docs: DataFrame, symbols: dict[bytes, int]) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get, total = dict(sent.value), np.zeros(SYMBOLS * SYMBOLS, np.int64)
+        flat: list[int] = []
+
+        def add() -> None:
+            ids = np.array([*flat, END], np.int64)
+            pair, n = np.unique(ids[:-1] * SYMBOLS + ids[1:], return_counts=True)
+            total[pair] += n
+            flat.clear()
+
         for b in batches:
-            flat: list[int] = []
-            for text in b.column(0).to_pylist():
+            for text in b.column(0):
                 flat.append(END)
-                for w in words_of(text):
+                for w in words_of(text.as_py()):
                     s = get.get(w)
                     if s is None:
                         s = class_of(w)
-                        if len(get) < 500_000:
+                        if len(get) < 200_000:
                             get[w] = s
                     flat.append(s)
-            ids = np.array([*flat, END], np.int64)
-            total += np.bincount(ids[:-1] * SYMBOLS + ids[1:], minlength=SYMBOLS * SYMBOLS)
+                if len(flat) > 500_000:
+                    add()
+        add()
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["pair", "n"])
 
