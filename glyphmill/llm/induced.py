@@ -20,7 +20,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 
 #: Entries that a queue keeps in memory, rows scanned at once, and the most names for which recursion goes on.
-MEMORY, CHUNK, NAMES = 1 << 22, 1 << 16, 1024
+MEMORY, CHUNK, NAMES = 1 << 20, 1 << 16, 1024
 FAR = np.int16(32000)
 ENTRY = np.dtype([("pos", np.int64), ("lcp", np.int16)])
 NONE = np.zeros(0, ENTRY)
@@ -128,7 +128,7 @@ def _range_least(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray
 def _types(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which suffixes are smaller than their successor (the last one is), and each position's run of equal symbols."""
     n = len(text)
-    change = np.append(np.flatnonzero(text[1:] != text[:-1]), n - 1)
+    change = np.append(np.flatnonzero(text[1:] != text[:-1]), n - 1).astype(np.int32 if n < 2**31 else np.int64)
     stop = np.repeat(change, np.diff(np.concatenate(([-1], change))))  # the last position of each run
     small = np.ones(n, bool)
     inner = stop < n - 1
@@ -241,12 +241,14 @@ def _minima(text: np.ndarray, symbols: int, cap: int, memory: int, small: np.nda
     rough = _induce(text, symbols, small, stop, _entries(at[first], 0), cap, memory)
     order = np.concatenate([b["pos"][is_minimum[b["pos"]]] for b in rough])[::-1]
     # names: equal neighbours have equal symbols from minimum to minimum
-    size = np.zeros(len(text), np.int64)
+    kind = np.int32 if len(text) < 2**31 else np.int64
+    size = np.zeros(len(text), kind)
     size[at] = np.append(np.diff(at), 0) + 1
     same = (size[order[1:]] == size[order[:-1]]) & (_common(text, order[1:], order[:-1], min(cap, int(size.max()))) >= np.minimum(size[order[1:]], cap))
-    name = np.empty(len(text), np.int64)
+    name = np.empty(len(text), kind)
     name[order] = np.concatenate(([0], np.cumsum(~same)))
-    names = name[at]
+    names = name[at].astype(np.int64)
+    del size, name, is_minimum
     return at[_ranks(names, int(names.max()) + 1, cap, memory)]
 
 

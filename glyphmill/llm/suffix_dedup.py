@@ -1,11 +1,12 @@
 """Suffix-array dedup: long repeats of bytes, found by external induced sorting of shards.
 
 Blocks of windows around anchors say where repeats can be. Blocks of an anchor all of whose places have the same
-content are decided by their count. The contents that differ go, one place each, to shards by their anchor:
-equal windows have the same anchor, so a shard sees all contents in which its windows can recur. A shard's
-suffixes are sorted by ``induced``, whose queues are on disk, and a window is repeated if its common prefix with a
-neighbour is long enough. An anchor with very many contents is dealt out further: windows at about the same
-distance from the anchor go where the bytes that all of them share say.
+content are decided by their count. The contents that differ, one place of each, fall apart into pieces, windows at
+about the same distance from the anchor. The bytes that all windows of a piece share name it: equal windows are in
+pieces of one name, and a name with one piece is done with; equal pieces are one case, repeated as a whole. The others, one
+of each, are dealt by name to shards; a name of very many pieces is taken apart further first. A shard's suffixes are
+sorted by ``induced``, whose queues are on disk, and a window is repeated if its common prefix with a neighbour is
+long enough.
 
 Defined results. Null and empty texts have no bytes. Repeated rows, null ids and ties don't matter: every row is
 judged by its text, named by hash and size, and copies are places of their own. Texts of under ``length`` bytes lose
@@ -24,11 +25,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .anchors import blocks, contested, kgram_hashes, texts_of, with_spans
-from .common import if_small, keep, partitions_for, workspace
+from .common import Workspace, boxed, keep, partitions_for, unboxed, workspace
 from .induced import repeated_starts
 
-#: Bytes in a k-gram of the anchors; of a shard; of an anchor's contents from which they are dealt out further, by this many windows.
-GRAM, SHARD, HOT, STRIDE = 64, 4 << 20, 1 << 20, 32
+#: Bytes in a k-gram of the anchors, of a shard, and of a key that is taken apart further; windows in a piece.
+GRAM, SHARD, HOT, STRIDE, FINE = 64, 1 << 20, 1 << 19, 32, 4
 FOUND = "anchor long, content long, t long, size int, start int, windows int"
 NAMES = ["anchor", "content", "t", "size", "start", "windows"]
 
@@ -59,29 +60,62 @@ def byte_blocks(docs: DataFrame, length: int) -> DataFrame:
 
 
 def contents_of(texts: DataFrame, length: int) -> DataFrame:
-    """(anchor, content, n, base, key, bytes): the disputed contents, whole (key is the anchor), or in pieces where hot."""
+    """(anchor, content, n, base, bytes): the disputed contents; base is 0, the number of the first window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for text, wanted in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                out: list[tuple] = []
-                for p in wanted:
-                    body = text[p["start"] : p["start"] + p["windows"] + length - 1]
-                    if not p["hot"]:
-                        out.append((p["anchor"], p["content"], p["n"], 0, p["anchor"], body))
-                        continue
-                    k = min(GRAM, length)
-                    h = kgram_hashes(np.frombuffer(body, np.uint8), k)[: length - k + 1]
-                    lead = int(np.argmin(h >> np.uint64(32)))  # the anchor's place; windows are told apart by their distance to it
-                    for r in range((lead - p["windows"] + 1) // STRIDE, lead // STRIDE + 1):
-                        x, y = max(0, lead - STRIDE * r - STRIDE + 1), min(p["windows"], lead - STRIDE * r + 1)
-                        common = body[max(0, lead - STRIDE * r) : lead - STRIDE * r - STRIDE + 1 + length]
-                        key = _signed(xxhash.xxh3_64_intdigest(common, seed=(p["anchor"] ^ r) & 0xFFFFFFFF))
-                        out.append((p["anchor"], p["content"], p["n"], x, key, body[x : y + length - 1]))
-                cols = list(zip(*out, strict=True)) or [()] * 6
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], ["anchor", "content", "n", "base", "key", "bytes"])
-
-    return texts.select("text", "wanted").mapInArrow(run, "anchor long, content long, n long, base int, key long, bytes binary")
+                out = [(p["anchor"], p["content"], p["n"], 0, text[p["start"] : p["start"] + p["windows"] + length - 1]) for p in wanted]
+                cols = list(zip(*out, strict=True)) or [()] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["anchor", "content", "n", "base", "bytes"])
+
+    return texts.select("text", "wanted").mapInArrow(run, "anchor long, content long, n long, base int, bytes binary")
+
+
+def pieces_of(contents: DataFrame, length: int, stride: int) -> DataFrame:
+    """(anchor, content, at, n, base, windows, key, h): the pieces of contents that begin at window ``at``.
+
+    A piece is the windows whose distances to the anchor are in one stretch of ``stride``; its key hashes the
+    anchor, the stretch and the bytes that all windows of such a stretch cover; h hashes all of the piece. Equal windows
+    are in pieces of one key.
+    """
+    names = ["anchor", "content", "at", "n", "base", "windows", "key", "h"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k = min(GRAM, length)
+        for b in batches:
+            out: list[tuple] = []
+            for anchor, content, n, at, body in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                count = len(body) - length + 1
+                lead = int(np.argmin(kgram_hashes(np.frombuffer(body, np.uint8), k)[: length - k + 1] >> np.uint64(32)))  # the anchor's place
+                for r in range((lead - count + 1) // stride, lead // stride + 1):
+                    x, y = max(0, lead - stride * r - stride + 1), min(count, lead - stride * r + 1)
+                    common = body[max(0, lead - stride * r) : lead - stride * r - stride + 1 + length]
+                    key = xxhash.xxh3_64_intdigest(common, seed=(anchor ^ r) & 0xFFFFFFFF)
+                    out.append((anchor, content, at, n, at + x, y - x, _signed(key), _signed(xxhash.xxh3_64_intdigest(body[x : y + length - 1]))))
+            cols = list(zip(*out, strict=True)) or [()] * 8
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i in (2, 4, 5) else pa.int64()) for i, c in enumerate(cols)], names)
+
+    return contents.select("anchor", "content", "n", "base", "bytes").mapInArrow(run, "anchor long, content long, at int, n long, base int, windows int, key long, h long")
+
+
+def settle(contents: DataFrame, length: int, stride: int, ws: Workspace) -> tuple[DataFrame, DataFrame]:
+    """What the pieces of contents say at once, and what is left to compare.
+
+    Returns runs (anchor, content, k, windows) of pieces that occur twice or more as a whole, and of the keys with
+    several different pieces one of each: (key, volume, anchor, content, n, base, bytes).
+    """
+    pieces = ws.write(pieces_of(contents, length, stride), f"pieces{stride}")
+    groups = pieces.groupBy("key", "h").agg(F.sum("n").alias("n"), F.min(F.struct("anchor", "content", "at", "base", "windows")).alias("one"))
+    groups = ws.write(groups, f"groups{stride}")
+    # contents of several places are repeated as a whole already
+    runs = pieces.where("n = 1").join(groups.where("n > 1").select("key", "h"), ["key", "h"], "left_semi").select("anchor", "content", F.col("base").alias("k"), "windows")
+    keys = groups.groupBy("key").agg(F.count("*").alias("c"), F.min("n").alias("n"), F.sum(F.col("one.windows") + length - 1).alias("volume")).where("c > 1 and n = 1")
+    left = groups.join(keys.select("key", "volume"), "key").select("key", "volume", "n", "one.*")
+    whole = contents.select("anchor", "content", F.col("base").alias("at"), "bytes")
+    left = left.join(whole, ["anchor", "content", "at"])
+    cut = F.expr(f"substring(bytes, base - at + 1, windows + {length - 1})")
+    return ws.write(runs, f"runs{stride}"), ws.write(left.select("key", "volume", "anchor", "content", "n", "base", cut.alias("bytes")), f"left{stride}")
 
 
 def _shard(length: int):
@@ -108,15 +142,18 @@ def repeated_bytes(docs: DataFrame, length: int = 400) -> DataFrame:
         places, repeated, disputed = contested(byte_blocks(docs, length), ws)
         disputed = ws.write(disputed, "disputed")
         whole = places.join(repeated, ["anchor", "content"]).select("t", "size", "start", "windows")
-        volume = disputed.groupBy("anchor").agg(F.sum(F.col("windows") + length - 1).alias("v")).where(F.col("v") > HOT).select("anchor", F.lit(True).alias("hot"))
-        volume = keep(volume)
-        marked = disputed.join(if_small(volume, volume.count(), 1_000_000), "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-        wanted = marked.groupBy("t", "size").agg(F.collect_list(F.struct("anchor", "content", "n", "start", "windows", "hot")).alias("wanted"))
-        pieces = ws.write(contents_of(texts_of(docs, disputed, ws).join(wanted, ["t", "size"]), length), "pieces")
-        total = pieces.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
-        shards = pieces.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(partitions_for(total, SHARD))))
-        runs = shards.groupBy("shard").applyInArrow(_shard(length), "anchor long, content long, k int, windows int")
-        runs = ws.write(runs, "runs")
+        wanted = disputed.groupBy("t", "size").agg(F.collect_list(F.struct("anchor", "content", "n", "start", "windows")).alias("wanted"))
+        contents = ws.write(contents_of(texts_of(docs, disputed, ws).join(wanted, ["t", "size"]), length), "bytes")
+        runs, left = settle(contents, length, STRIDE, ws)
+        hot = left.where(F.col("volume") > HOT).drop("key", "volume")
+        cold = left.where(F.col("volume") <= HOT)
+        if not hot.isEmpty():  # very many pieces of one key: smaller ones share more, and so are told apart
+            more, rest = settle(hot, length, FINE, ws)
+            runs, cold = runs.unionByName(more), cold.unionByName(rest)
+        total = cold.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+        shards = cold.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(partitions_for(total, SHARD))))
+        found = shards.groupBy("shard").applyInArrow(_shard(length), "anchor long, content long, k int, windows int")
+        runs = runs.unionByName(ws.write(found, "found"))
         part = places.drop("windows").join(runs, ["anchor", "content"]).select("t", "size", (F.col("start") + F.col("k")).alias("start"), "windows")
         return keep(whole.unionByName(part))
 
@@ -126,7 +163,7 @@ def drop_repeated_bytes(docs: DataFrame, text_col: str = "text", length: int = 4
     text = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
     key = {"t": F.xxhash64(text), "size": F.octet_length(text), "text": text}
     spans = repeated_bytes(docs.select(*(c.alias(k) for k, c in key.items())), length)
-    inner = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), *(c.alias(k) for k, c in key.items()))
+    inner = boxed(docs, **key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -143,12 +180,12 @@ def drop_repeated_bytes(docs: DataFrame, text_col: str = "text", length: int = 4
                 left = b"".join(kept)
                 out.append((len(body), len(body) - len(left), n, left))
             new = [pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), *new], ["row", "_n_bytes", "_n_removed", "_n_spans", "_kept"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *new], ["_row", "_n_bytes", "_n_removed", "_n_spans", "_kept"])
 
     added = [T.StructField(n, T.LongType()) for n in ("_n_bytes", "_n_removed", "_n_spans")]
-    kinds = T.StructType([T.StructField("row", T.StructType(docs.schema.fields)), *added, T.StructField("_kept", T.BinaryType())])
-    out = with_spans(inner, spans).select("row", "text", "spans").mapInArrow(run, kinds)
-    return out.select("row.*", "_n_bytes", "_n_removed", "_n_spans", "_kept")
+    kinds = T.StructType([inner.schema["_row"], *added, T.StructField("_kept", T.BinaryType())])
+    out = with_spans(inner, spans).select("_row", "text", "spans").mapInArrow(run, kinds)
+    return unboxed(out, docs.columns, **{c: F.col(c) for c in ("_n_bytes", "_n_removed", "_n_spans", "_kept")})
 
 
 def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
