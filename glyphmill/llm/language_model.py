@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import keep, partitions_for, workspace
 
-SHORT, CLASSES, SIZE, NOISE, STEPS, BATCH, SEED = 1791, 256, 32, 512, 1500, 8192, 11
+SHORT, CLASSES, SIZE, NOISE, STEPS, BATCH, RATE, SEED = 1791, 256, 32, 64, 5000, 1024, 0.5, 11
 #: Bytes of text in a block.
 BLOCK = 16 << 20
 END, SYMBOLS = SHORT, SHORT + 1 + CLASSES
@@ -67,7 +67,7 @@ def noise_contrastive(pairs: np.ndarray, seed: int = SEED, steps: int = STEPS) -
         return out
 
     for step in range(steps):
-        rate = np.float32(0.15 * (1 - 0.9 * step / steps))
+        rate = np.float32(RATE * (1 - 0.9 * step / steps))
         pick = np.minimum(np.searchsorted(chance, rng.random(BATCH)), len(n) - 1)
         h, w = context[pick], target[pick]
         noise = np.minimum(np.searchsorted(below, rng.random(NOISE)), SYMBOLS - 1)
@@ -157,7 +157,7 @@ def score_documents(docs: DataFrame, id_col: str, text_col: str, held: Column) -
     text = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(held, F.lit(False)).alias("held"), text.alias("text"))
     size, trained = rows.agg(F.sum(F.octet_length("text")), F.sum(F.when(F.col("held"), 0).otherwise(1))).first()
-    blocks = partitions_for(size or 0, BLOCK)
+    blocks = partitions_for(size or 0, BLOCK, min(spark.sparkContext.defaultParallelism, (size or 0) >> 20) or 1)
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int"))
     with workspace(spark, "lm") as ws:
         words = rows.select("block", "held", "text").groupBy("block").applyInArrow(_block_words, "block int, word binary, class int, c long")
