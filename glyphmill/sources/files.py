@@ -30,14 +30,26 @@ def guess_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return read_files(spark, *paths).select("arg", "path", guess_detail("content").alias("g")).select("arg", "path", "g.encoding", "g.eol")
 
 
+#: Where lines end: after \n, or after each of the separators that str.splitlines knows.
+NEWLINE, SEPARATORS = r"(?<=\n)", r"(?<=\n)|(?<=\r)(?!\n)|(?<=[\x0b\x0c\x1c\x1d\x1e\u0085\u2028\u2029])"
+
+
 def read_lines(spark: SparkSession, paths: Sequence[str], *options: str, all_separators: bool = False) -> DataFrame:
     """(path, number, line): decoded files by line, at \\n, or at all that str.splitlines knows. Lines keep their ends."""
-    ends = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]" if all_separators else "\n"
     text = read_files(spark, *paths).select("path", decode_text("content", *options).alias("text"))
-    lines = F.filter(F.split("text", f"(?<={ends})" if not all_separators else "(?<=\n)|(?<=\r)(?!\n)|(?<=[\x0b\x0c\x1c\x1d\x1e\x85  ])"), lambda x: x != "")
+    lines = F.filter(F.split("text", SEPARATORS if all_separators else NEWLINE), lambda x: x != "")
     return text.select("path", F.posexplode(lines).alias("number", "line"))
 
 
+def read_pieces(spark: SparkSession, paths: Sequence[str], size: int, *options: str) -> DataFrame:
+    """(path, number, piece): decoded files in pieces of ``size`` characters, the last one shorter."""
+    if size < 1:
+        raise ValueError("size must be positive")
+    text = read_files(spark, *paths).select("path", decode_text("content", *options).alias("text")).where("text <> ''")
+    pieces = text.withColumn("number", F.explode(F.expr(f"sequence(0, (char_length(text) - 1) div {size})")))
+    return pieces.select("path", "number", F.expr(f"substring(text, cast(number * {size} + 1 as int), {size})").alias("piece"))
+
+
 def write_files(df: DataFrame, folder: str, name: str = "name", content: str = "content") -> None:
     """Writes each row's bytes to ``folder``/name by the cluster's file system, each task its own rows."""
     spark = df.sparkSession

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import glyphmill.queries as Q
 from glyphmill.functions import columns as C
 from glyphmill.operators.transcoder import Transcoder, register_codecs
-from glyphmill.sources.files import convert_files, guess_files, read_lines
+from glyphmill.sources.files import convert_files, guess_files, read_lines, read_pieces, write_files
 from glyphmill.streaming.chunks import convert_chunks
 
 SF = "/root/testdata/sf0.001"
@@ -67,6 +67,10 @@ def test_files(spark, tmp_path):
     assert [bytes(r.content) for r in convert_files(spark, paths).orderBy("arg").collect()][0] == "一\n二\n".encode("shift_jis")
     assert [(r.encoding, r.eol) for r in guess_files(spark, paths).orderBy("arg").collect()] == [("Shift_JIS", "LF"), ("ASCII", "CRLF")]
     assert [r.line for r in read_lines(spark, paths[:1], "-S").orderBy("number").collect()] == ["一\n", "二\n"]
+    assert [r.line for r in read_lines(spark, paths[1:], all_separators=True).collect()] == ["plain\r\n"]
+    assert [r.piece for r in read_pieces(spark, paths[:1], 3, "-S").orderBy("number").collect()] == ["一\n二", "\n"]
+    write_files(convert_files(spark, paths, "-e").withColumn("name", F.concat(F.col("arg").cast("string"), F.lit(".euc"))), str(tmp_path / "out"))
+    assert (tmp_path / "out" / "0.euc").read_bytes() == "一\n二\n".encode("euc_jp")
 
 
 def test_chunks(spark, tmp_path):
