@@ -106,10 +106,12 @@ def drop_lists(docs: DataFrame, id_col: str, text_col: str, min_chars: int = 40,
         lines = docs.select(F.col(id_col).alias("doc"), F.explode(line_hashes(F.col(text_col), min_chars)).alias("h")).select("doc", "h.a", "h.b")
         lines = ws.write(lines.withColumn("batch", F.pmod(F.xxhash64("doc"), F.lit(batches))), "lines")
         runs = LineRuns(spark, ws)
-        for k in range(batches):
-            runs.ingest(lines.where(F.col("batch") == k).select("doc", "a", "b"))
-        frequent = keep(runs.frequent(min_docs))
-        runs.close()
+        try:
+            for k in range(batches):
+                runs.ingest(lines.where(F.col("batch") == k).select("doc", "a", "b"))
+            frequent = keep(runs.frequent(min_docs))
+        finally:
+            runs.close()
         hit = lines.join(if_small(frequent, frequent.count(), SMALL), ["a", "b"])
         hit = hit.where(F.col("top").isNotNull() & (F.col("doc").isNull() | (F.col("doc") < F.col("top"))))
         pairs = keep(hit.select("doc", "a", "b"))
