@@ -25,10 +25,23 @@ def shared_dir(spark: SparkSession) -> str:
     return there
 
 
+#: Rows and bytes of a batch of texts that goes to Python; Spark's own default is 10,000 rows however long.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches, so that a worker and its executor hold few long texts at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 class Workspace:
     """A folder of intermediate Parquet tables in the shared folder; the tables go when the work is over."""
 
     def __init__(self, spark: SparkSession, name: str):
+        small_batches(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 

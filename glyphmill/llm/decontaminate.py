@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import keep
+from .common import keep, small_batches
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -82,6 +82,7 @@ def _match(text: str | None, index: dict, starts: frozenset) -> tuple[int, set[i
 
 def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = 10, block: int = 50_000) -> DataFrame:
     """``docs`` with ``_n_words``, ``_hit`` (the positions of words inside windows) and ``_items`` (ids, sorted)."""
+    small_batches(docs.sparkSession)
     docs = docs.drop("_n_words", "_hit", "_items")
     found = keep(windows(items, item_id, item_text, n))
     blocks = max(1, -(-found.count() // block))

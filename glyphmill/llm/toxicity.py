@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import small_batches
+
 #: The most labelled rows that are learned from, the most patterns of a lexicon, and the threshold.
 SAMPLE, PATTERNS, THRESHOLD = 20_000, 4000, 0.3
 #: Letters of other scripts that look like Latin ones, and what they look like.
@@ -128,7 +130,7 @@ def fit(train: DataFrame, min_docs: int = 3, least_odds: float = 1.5) -> Model:
     sizes = {r.y: r["count"] for r in train.groupBy("y").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         return Model()
-    often = count(lambda w, y: patterns_of(w) if y else ()).where(F.col("n") >= min_docs).orderBy(F.desc("n"), "p").limit(25 * PATTERNS)
+    often = count(lambda w, y: patterns_of(w) if y else ()).where(F.col("n") >= min_docs).orderBy(F.desc("n"), "p").limit(10 * PATTERNS)
     pos = {r.p: r.n for r in often.collect()}
     sc = train.sparkSession.sparkContext
     sent = sc.broadcast(frozenset(pos))
@@ -167,6 +169,7 @@ def fit(train: DataFrame, min_docs: int = 3, least_odds: float = 1.5) -> Model:
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``_toxicity``, from 0 to 1."""
+    small_batches(docs.sparkSession)
     docs = docs.drop("_toxicity")
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
@@ -188,6 +191,7 @@ def bucket(id_col: str, n: int) -> Column:
 
 def fitted(docs: DataFrame, labels: DataFrame) -> Model:
     """A model learned from the labelled documents that aren't held out."""
+    small_batches(docs.sparkSession)
     y = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (bucket("doc_id", 4) != 2))
     y = y.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     return fit(docs.select("doc_id", "text").join(F.broadcast(y), "doc_id").select("text", "y"))  # at most SAMPLE rows are sent
