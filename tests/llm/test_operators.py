@@ -5,6 +5,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import ordered
 from pyspark.sql import functions as F
@@ -271,3 +272,50 @@ def test_near_duplicates(spark, rows, docs, no_docs, crowd, monkeypatch):
     groups = len({find(k) for k in range(len(rows))})
     assert abs(len(kept) - groups) <= 1
     assert similar.drop_near_duplicates(no_docs).count() == 0
+
+
+def test_near_duplicates_in_crowds(spark, monkeypatch):
+    """In crowded cells too the shingles decide: pairs just at 0.8 are linked, pairs just below are not."""
+    monkeypatch.setattr(similar, "CROWD", 0)
+    rng = random.Random(8)
+    rows = []
+    for i in range(0, 120, 2):
+        words = [f"word{rng.randrange(10**9)}" for _ in range(170)]
+        ends = [[str(rng.randrange(1000, 10000)) for _ in range(30)] for _ in range(2)]
+        same = 9 if i % 4 else 6  # of 196 shingles: similarities of 0.806 and 0.781
+        rows += [(i, " ".join(words + ends[0])), (i + 1, " ".join(words + ends[0][:same] + ends[1][same:]))]
+    pairs = brute.jaccard_groups(rows)
+    assert len(pairs) == 30
+    kept = {r.doc_id for r in similar.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == set(range(120)) - {max(p) for p in pairs}
+
+
+def test_crowded_block():
+    """A block's links are those of the shingles, whatever the pieces."""
+    rng = random.Random(2)
+    base = rng.sample(range(10**9), 100)
+    sets = []
+    for k in range(80):
+        own = set(base) if k % 2 else set(rng.sample(range(10**9), 100))
+        for _ in range(rng.randint(0, 14)):
+            own.discard(rng.choice(sorted(own)))
+            own.add(rng.randrange(10**9))
+        sets.append(own)
+    rows = [{"side": side, "c": k, "g": len(x), "label": k, "grams": sorted(x)} for side in (0, 1) for k, x in enumerate(sets)]
+    schema = pa.schema([("side", pa.int32()), ("c", pa.int64()), ("g", pa.int32()), ("label", pa.int64()), ("grams", pa.list_(pa.int64()))])
+    got = similar._joined(pa.Table.from_pylist(rows, schema)).to_pylist()
+    root, expect = list(range(80)), list(range(80))
+
+    def find(of, k):
+        while of[k] != k:
+            k = of[k]
+        return k
+
+    for e in got:
+        assert 9 * len(sets[e["a"]] & sets[e["b"]]) >= 4 * (len(sets[e["a"]]) + len(sets[e["b"]]))
+        root[find(root, e["a"])] = find(root, e["b"])
+    for a in range(80):
+        for b in range(a):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                expect[find(expect, a)] = find(expect, b)
+    assert all((find(root, a) == find(root, b)) == (find(expect, a) == find(expect, b)) for a in range(80) for b in range(80))
