@@ -290,6 +290,19 @@ def test_near_duplicates_in_crowds(spark, monkeypatch):
     assert kept == set(range(120)) - {max(p) for p in pairs}
 
 
+def test_near_duplicates_of_few_words(spark):
+    """One word of a short text changed: every pair of similarity 0.8 or more is found, whatever the length."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(0, 600, 2):
+        words = [rng.choice(["a", "to", "word"]) + str(rng.randrange(1000, 10**6)) for _ in range(13 + i % 40)]
+        rows += [(i, " ".join(words)), (i + 1, " ".join([*words[:-1], f"last{i}"]))]
+    pairs = brute.jaccard_groups(rows)
+    assert len(pairs) == 300
+    kept = {r.doc_id for r in similar.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == set(range(600)) - {max(p) for p in pairs}
+
+
 def test_crowded_block():
     """A block's links are those of the shingles, whatever the pieces."""
     rng = random.Random(2)
