@@ -1,9 +1,10 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-``LineRuns`` is a log-structured index: a batch of line hashes is merged against the sorted runs of the
-levels (an anti-join that names the batch's new lines) and then added as a run of its own; when a level has
-``fanout`` runs they are compacted into one run of the next level. Runs are bucketed and sorted by hash, so
-merging a batch shuffles the batch alone.
+``LineRuns`` is a log-structured index: a batch of line hashes is merge-anti-joined with the sorted runs of the
+levels. The lines that no run holds are added as a run of the batch's own, so every line is an entry of one run only;
+those that a run holds already are updates of their entries. When a level has ``fanout`` runs they are compacted into one
+run of the next level, and the updates of its entries are folded in. Runs are bucketed and sorted by hash, so merging a
+batch shuffles the batch alone.
 
 Defined results. Null or empty text: one empty line. A null ``doc_id`` is a document older than any other.
 Rows that repeat a doc_id count as documents of their own and share the decision. Lines shorter than
@@ -29,7 +30,8 @@ def split_lines(text: Column) -> Column:
 
 
 def line_key(line: Column) -> Column:
-    return lower_ascii(F.btrim(line, F.lit(BLANKS)))
+    bare = F.btrim(line, F.lit(BLANKS))
+    return F.when(F.length(line) == F.octet_length(line), F.lower(bare)).otherwise(lower_ascii(bare))  # the same for ASCII, and faster
 
 
 def line_hash(line: Column) -> Column:
@@ -39,64 +41,94 @@ def line_hash(line: Column) -> Column:
 
 def line_hashes(text: Column, min_chars: int) -> Column:
     """The distinct hashes of a text's lines of at least ``min_chars`` code points."""
-    long = F.filter(split_lines(text), lambda x: F.length(line_key(x)) >= min_chars)
+    # lower-casing A-Z keeps the length
+    long = F.filter(split_lines(text), lambda x: F.length(F.btrim(x, F.lit(BLANKS))) >= min_chars)
     return F.array_distinct(F.transform(long, line_hash))
 
 
 class LineRuns:
-    """Levels of sorted runs (a, b, docs, top): a line's hash, its documents, its largest doc_id."""
+    """Levels of sorted runs (a, b, docs, top): a line's hash, its documents, its largest doc_id.
+
+    ``updates`` are runs of the same kind: what later batches say of lines that are entries already.
+    """
 
     def __init__(self, spark: SparkSession, ws: Workspace, fanout: int = 3, buckets: int | None = None):
         self.spark, self.ws, self.fanout = spark, ws, fanout
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = [[]]
+        self.updates: list[str] = []
 
-    def _add(self, run: DataFrame, level: int) -> None:
+    def _write(self, run: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
         run.write.bucketBy(self.buckets, "a", "b").sortBy("a", "b").option("path", f"{self.ws.root}/{name}").saveAsTable(name)
-        if len(self.levels) <= level:
-            self.levels.append([])
-        self.levels[level].append(name)
-
-    def _merged(self, names: list[str]) -> DataFrame:
-        """One run of several: outer merge joins of the buckets, without a shuffle."""
-        runs = self.spark.table(names[0]).select("a", "b", "docs", "top")
-        for name in names[1:]:
-            more = self.spark.table(name).select("a", "b", F.col("docs").alias("_docs"), F.col("top").alias("_top"))
-            docs = F.coalesce("docs", F.lit(0)) + F.coalesce("_docs", F.lit(0))
-            runs = runs.join(more, ["a", "b"], "full").select("a", "b", docs.alias("docs"), F.greatest("top", "_top").alias("top"))
-        return runs
+        return name
 
     def _drop(self, names: list[str]) -> None:
         for name in names:
             self.spark.sql(f"drop table if exists {name}")
             self.ws.drop(name)
 
-    def fresh(self, lines: DataFrame) -> DataFrame:
-        """Merge-anti-join: the distinct hashes of ``lines`` (a, b) that no run holds."""
-        new = lines.select("a", "b").distinct()
-        for name in (n for level in self.levels for n in level):
-            new = new.join(self.spark.table(name).select("a", "b"), ["a", "b"], "left_anti")
-        return new
+    def runs(self) -> list[str]:
+        return [n for level in self.levels for n in level]
+
+    def fresh(self, batch: DataFrame) -> DataFrame:
+        """Merge-anti-join: the rows of ``batch`` whose hash (a, b) no run holds."""
+        for name in self.runs():
+            batch = batch.join(self.spark.table(name).select("a", "b"), ["a", "b"], "left_anti")
+        return batch
+
+    def _updated(self, entries: DataFrame, updates: list[str]) -> DataFrame:
+        """Entries with what the updates add to them: merge joins of the buckets, without a shuffle."""
+        for name in updates:
+            more = self.spark.table(name).select("a", "b", F.col("docs").alias("_docs"), F.col("top").alias("_top"))
+            docs = F.col("docs") + F.coalesce("_docs", F.lit(0))
+            entries = entries.join(more, ["a", "b"], "left").select("a", "b", docs.alias("docs"), F.greatest("top", "_top").alias("top"))
+        return entries
 
     def ingest(self, lines: DataFrame) -> None:
-        """Adds a batch of (doc, a, b), one row per document and line, as a run, and compacts full levels."""
-        run = lines.groupBy("a", "b").agg(F.count("*").alias("docs"), F.max("doc").alias("top"))
-        fresh = self.fresh(lines).withColumn("fresh", F.lit(True))
-        self._add(run.join(fresh, ["a", "b"], "left").withColumn("fresh", F.coalesce("fresh", F.lit(False))), 0)
+        """Adds a batch of (doc, a, b), one row per document and line: fresh lines as a run, the others as updates."""
+        batch = self._write(lines.groupBy("a", "b").agg(F.count("*").alias("docs"), F.max("doc").alias("top")))
+        if not self.runs():
+            self.levels[0].append(batch)
+            return
+        run = self._write(self.fresh(self.spark.table(batch)))
+        known = self.spark.table(batch).join(self.spark.table(run).select("a", "b"), ["a", "b"], "left_anti")
+        self.updates.append(self._write(known))
+        self.levels[0].append(run)
+        self._drop([batch])
+        self._compact()
+
+    def _compact(self) -> None:
         level = 0
         while level < len(self.levels) and len(self.levels[level]) >= self.fanout:
             names, self.levels[level] = self.levels[level], []
-            self._add(self._merged(names).withColumn("fresh", F.lit(False)), level + 1)
-            self._drop(names)
+            entries = self.spark.table(names[0])
+            for name in names[1:]:  # no line is in two of them
+                entries = entries.unionByName(self.spark.table(name))
+            if level + 1 == len(self.levels):
+                self.levels.append([])
+            older = self.runs()
+            # updates of entries of older levels stay; those of the compacted runs are folded in
+            merged = self._write(self._updated(entries, self.updates))
+            left = []
+            for name in self.updates if older else []:
+                rest = self.spark.table(name).join(self.spark.table(merged).select("a", "b"), ["a", "b"], "left_anti")
+                left.append(self._write(rest))
+            self._drop([*names, *self.updates])
+            self.levels[level + 1].append(merged)
+            self.updates = left
             level += 1
 
     def frequent(self, min_docs: int) -> DataFrame:
         """(a, b, top) of the lines that at least ``min_docs`` documents hold, over all runs."""
-        return self._merged([n for level in self.levels for n in level]).where(F.col("docs") >= min_docs).select("a", "b", "top")
+        parts = [self._updated(self.spark.table(name), self.updates) for name in self.runs()]
+        entries = parts[0]
+        for part in parts[1:]:
+            entries = entries.unionByName(part)
+        return entries.where(F.col("docs") >= min_docs).select("a", "b", "top")
 
     def close(self) -> None:
-        self._drop([n for level in self.levels for n in level])
+        self._drop([*self.runs(), *self.updates])
 
 
 def drop_lists(docs: DataFrame, id_col: str, text_col: str, min_chars: int = 40, min_docs: int = 5, batches: int = 4) -> tuple[DataFrame, int]:
@@ -128,10 +160,12 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = boxed(docs, i=F.col(id_col), text=F.col(text_col)).alias("d")
     out = rows.join(if_small(drops, pairs, SMALL).alias("x"), F.expr("d.i <=> x.doc"), "left")
     lines = split_lines(F.col("text"))
-    stays = F.filter(lines, lambda x: ~((F.length(line_key(x)) >= min_chars) & F.array_contains(F.col("drop"), line_hash(x))))
-    out = out.withColumn("kept", F.when(F.col("drop").isNull(), lines).otherwise(stays))
-    n, left = F.size(lines).cast("long"), F.size("kept").cast("long")
-    return unboxed(out, docs.columns, _n_lines=n, _n_dropped=n - left, _kept=F.array_join("kept", "\n"))
+    stays = F.filter(lines, lambda x: ~((F.length(F.btrim(x, F.lit(BLANKS))) >= min_chars) & F.array_contains(F.col("drop"), line_hash(x))))
+    whole = F.coalesce("text", F.lit(""))
+    n = F.length(whole) - F.length(F.replace(whole, F.lit("\n"), F.lit(""))) + 1
+    out = out.withColumn("kept", F.when(F.col("drop").isNotNull(), stays)).withColumn("n", n.cast("long"))
+    left = F.when(F.col("kept").isNull(), F.col("n")).otherwise(F.size("kept").cast("long"))
+    return unboxed(out, docs.columns, _n_lines=F.col("n"), _n_dropped=F.col("n") - left, _kept=F.coalesce(F.array_join("kept", "\n"), whole))
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,11 +44,43 @@ def test_line_runs(spark):
         fresh = []
         for b in range(5):
             lines = spark.createDataFrame([(10 * b + d, a, a) for d in range(3) for a in (1, 100 + b)], "doc long, a long, b long")
-            fresh.append(sorted(r.a for r in runs.fresh(lines).collect()))
+            fresh.append(sorted({r.a for r in runs.fresh(lines).collect()}))
             runs.ingest(lines)
+            entries = [r.a for name in runs.runs() for r in spark.table(name).collect()]
+            assert sorted(entries) == sorted({1, *range(100, 101 + b)})  # an entry of one run only
         assert fresh == [[1, 100]] + [[100 + b] for b in range(1, 5)]
         assert all(len(level) < 2 for level in runs.levels)
         assert [tuple(r) for r in runs.frequent(5).collect()] == [(1, 1, 42)]
+        assert sorted(tuple(r) for r in runs.frequent(3).collect()) == [(1, 1, 42), *((100 + b, 100 + b, 10 * b + 2) for b in range(5))]
+        runs.close()
+
+
+def test_line_runs_rest_on_the_anti_join(spark, monkeypatch):
+    """Without the anti-join a line is an entry of many runs, each with too few documents."""
+    from glyphmill.llm.common import workspace
+
+    monkeypatch.setattr(line_dedup.LineRuns, "fresh", lambda self, batch: batch)
+    with workspace(spark, "test") as ws:
+        runs = line_dedup.LineRuns(spark, ws, fanout=9, buckets=3)
+        for b in range(5):
+            runs.ingest(spark.createDataFrame([(b, 1, 1)], "doc long, a long, b long"))
+        assert runs.frequent(5).count() == 0
+        runs.close()
+
+
+@pytest.mark.parametrize("fanout", [2, 3])
+def test_line_runs_count(spark, fanout):
+    from glyphmill.llm.common import workspace
+
+    rng = random.Random(fanout)
+    held = sorted({(rng.randrange(1000), min(rng.randrange(1, 60), rng.randrange(1, 60))) for _ in range(900)})
+    rng.shuffle(held)
+    with workspace(spark, "test") as ws:
+        runs = line_dedup.LineRuns(spark, ws, fanout=fanout, buckets=3)
+        for k in range(7):
+            runs.ingest(spark.createDataFrame([(d, a, a) for d, a in held[k::7]], "doc long, a long, b long"))
+        of = {a: [d for d, x in held if x == a] for _, a in held}
+        assert sorted(tuple(r) for r in runs.frequent(20).collect()) == sorted((a, a, max(ds)) for a, ds in of.items() if len(ds) >= 20)
         runs.close()
 
 
@@ -166,7 +198,7 @@ def test_toxicity(spark):
 
 
 def test_toxicity_folding_and_edges(spark, docs, no_docs):
-    assert toxicity.fold("Іdіоt 1d10t id1ot $cum 42 id!ot") == ["idiot", "ldlot", "idlot", "cum", "42", "idiot"] or "idiot" in toxicity.fold("Іdіоt")
+    assert toxicity.fold("Іdіоt 1d10t id1ot $cum 42 id!ot 1oser a$$ $100 ha!") == (["idiot", "idiot", "idiot", "scum", "42", "idiot", "ioser", "ass", "100", "ha"], [(1, "ldlot"), (2, "idlot"), (5, "idlot"), (6, "loser")])
     train = spark.createDataFrame([("you idiot fool", 1), ("such idiot talk", 1), ("an idiot here", 1), ("idiot", 1), ("a good day", 0), ("fine words here", 0), ("talk of the day", 0), ("nice day you", 0)], "text string, y int")
     model = toxicity.fit(train)
     assert any("idiot" in p for p in model.weights)
@@ -177,10 +209,12 @@ def test_toxicity_folding_and_edges(spark, docs, no_docs):
 
 
 def test_exceptions():
-    model = toxicity.Model({" clown ": 3.0}, frozenset({("clown", "fish")}), [0.0, 1, 1, 1, 1])
-    a = model.automaton()
-    assert toxicity.features(["a", "clown", "fish"], a, model.exceptions)[2] == 0
-    assert toxicity.features(["a", "clown"], a, model.exceptions)[2] == 3
+    exceptions = frozenset({("clown", "fish")})
+    a = toxicity.automaton({" clown ": 3.0})
+    assert toxicity.features((["a", "clown", "fish"], []), a, exceptions)[2] == 0
+    assert toxicity.features((["a", "clown"], []), a, exceptions)[2] == 3
+    assert toxicity.features((["a", "ciown"], [(1, "clown")]), a, exceptions)[2] == 3
+    assert toxicity.automaton({}) is None
 
 
 def test_neighbours(spark):
