@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": ann.op8_neighbours,
     "op9_mixing": mixing.op9_mixing,
     "op10_quotes": quotes.op10_quotes,
+    "quoted_replies": quotes.quoted_replies,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -137,3 +137,35 @@ def jaccard_groups(docs, size=5, least=0.8):
         w = (t or "").lower().split()
         sets.append({tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))})
     return [(a, b) for a in range(len(docs)) for b in range(a) if len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b])]
+
+
+def quote_links(rows):
+    """(conv, turn, parent, quotes, linked) of messages (conv, turn, text)."""
+    norm = lambda x: " ".join(re.split(r"[\x20\x09-\x0D]+", x.translate(UP).strip(BLANK))).strip()
+    read = []
+    for conv, turn, text in rows:
+        runs, last = [], None
+        for line in re.split(r"\r\n|\r|\n", text or ""):
+            m = re.match(r"[ \t]*(>[> \t]*)", line)
+            level = m[1].count(">") if m else 0
+            if level != last:
+                runs.append((level, []))
+                last = level
+            runs[-1][1].append(norm(line[m.end() :] if m else line))
+        own = [x for level, xs in runs if not level for x in [*xs, ""]]
+        lines = [x for x in own if x]
+        offer = {(1, *lines[i:j]) for i in range(len(lines)) for j in range(i + 1, len(lines) + 1)} | {(0, " ".join(lines))}
+        offer |= {(0, " ".join(p.split("\0"))) for p in re.split("\0\0+", "\0".join(own).strip("\0")) if p}
+        read.append((conv, turn, [(level, [x for x in xs if x]) for level, xs in runs if level and any(xs)], offer))
+    links = {}
+    out = []
+    for conv, turn, asked, _ in read:
+        found = []
+        for k, (level, xs) in enumerate(asked):
+            earlier = [t for c, t, _, o in read if c == conv and None not in (t, turn) and t < turn and ((1, *xs) in o or (0, " ".join(xs)) in o)]
+            found.append((level, k, max(earlier, default=None)))
+        best = min((f for f in found if f[2] is not None), default=(0, 0, None))[2]
+        if best is not None:
+            links.setdefault((conv, turn), best)
+        out.append((conv, turn, best, len(asked) if turn is not None else 0, sum(f[2] is not None for f in found)))
+    return out

@@ -284,6 +284,55 @@ def test_quotes(spark):
     assert quotes.reply_order(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_quotes_brute_force(spark, seed, monkeypatch):
+    """Whole messages, paragraphs and runs of lines, quoted at several levels, over few and many turns."""
+    monkeypatch.setattr(quotes, "BLOCK", (3, 256)[seed])
+    rng = random.Random(seed)
+    rows = []
+    for conv in (1, 2, None):
+        said = []
+        for turn in range(40):
+            lines = [" ".join(rng.choice(["ja", "NO", "maybe", "so  be\tit", "x"]) for _ in range(rng.randint(1, 3))) if rng.random() < 0.8 else rng.choice(["", " "]) for _ in range(rng.randint(0, 6))]
+            text = []
+            for _ in range(rng.randint(0, 2) if said else 0):
+                old = rng.choice(said)
+                i = rng.randrange(len(old) + 1)
+                part = old[i : i + rng.randint(1, 4)]
+                mark = rng.choice([">", "> ", " >> ", "> > >"])
+                text += [mark + (x.upper() if rng.random() < 0.3 else x) for x in part] + ([rng.choice(lines)] if lines else [])
+            said.append([x for x in lines])
+            rows.append((conv, turn, rng.choice(["\n", "\r\n"]).join(text + lines)))
+    rows += [(1, None, "> ja"), (4, 0, None), (4, 1, ""), (4, 2, ">"), (5, 0, "a\nb\nc\nd"), (5, 1, "> b\n> c\nfine"), (5, 2, "> a b\n> c d"), (5, 3, "a b c d"), (5, 4, "> c\n> d\n> e")]
+    out = quotes.reply_order(spark.createDataFrame(rows, "conv_id long, turn long, text string"))
+    assert ordered((r.conv_id, r.turn, r._parent, r._quotes, r._linked) for r in out.collect()) == ordered(brute.quote_links(rows))
+    assert {r.turn: r._parent for r in out.where("conv_id = 5").collect()} == {0: None, 1: 0, 2: 0, 3: None, 4: None}
+
+
+def test_quotes_of_long_messages(spark):
+    """Ten thousand lines of alternating levels, and as many lines quoted as one passage."""
+    lines = [f"{'> ' * (1 + k % 2)}line {k // 2}" for k in range(10_000)]
+    rows = [(1, 0, "\n".join(f"line {k}" for k in range(10_000))), (1, 1, "\n".join(lines)), (1, 2, "\n".join(f"> line {k}" for k in range(9_999))), (1, 3, "\n".join(["> same"] * 5000 + ["same"] * 5000)), (1, 4, "> same\n" * 3)]
+    out = {r.turn: r for r in quotes.reply_order(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()}
+    assert (out[1]._quotes, out[1]._linked, out[1]._parent) == (10_000, 10_000, 0)
+    assert (out[2]._quotes, out[2]._linked, out[2]._parent) == (1, 1, 0)
+    assert (out[3]._parent, out[4]._parent) == (None, 3)
+
+
+def test_parsing_is_linear():
+    import time
+
+    text = b"\n".join(b"> " * (1 + k % 2) + b"line" for k in range(10_000))
+    began = time.process_time()
+    assert sum(1 for _ in quotes.parsed(text)) == 10_000 and time.process_time() - began < 1
+
+
+def test_quoted_replies(spark):
+    rows = quotes.quoted_replies(spark, SF).collect()
+    linked = [r for r in rows if r.n_linked]
+    assert len(linked) > 0.5 * len(rows) and all(r.parent < r.turn for r in linked)
+
+
 def test_quotes_keep_every_message(spark):
     assert quotes.op10_quotes(spark, SF).count() == spark.read.parquet(f"{SF}/conversations.parquet").count()
 
