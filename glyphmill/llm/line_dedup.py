@@ -77,6 +77,14 @@ class LineRuns:
             batch = batch.join(self.spark.table(name).select("a", "b"), ["a", "b"], "left_anti")
         return batch
 
+    def _merged(self, names: list[str]) -> DataFrame:
+        """One run of several: outer merge joins of the buckets; no line is an entry of two runs."""
+        runs = self.spark.table(names[0])
+        for name in names[1:]:
+            more = self.spark.table(name).select("a", "b", F.col("docs").alias("_docs"), F.col("top").alias("_top"))
+            runs = runs.join(more, ["a", "b"], "full").select("a", "b", F.coalesce("docs", "_docs").alias("docs"), F.coalesce("top", "_top").alias("top"))
+        return runs
+
     def _updated(self, entries: DataFrame, updates: list[str]) -> DataFrame:
         """Entries with what the updates add to them: merge joins of the buckets, without a shuffle."""
         for name in updates:
@@ -102,14 +110,11 @@ class LineRuns:
         level = 0
         while level < len(self.levels) and len(self.levels[level]) >= self.fanout:
             names, self.levels[level] = self.levels[level], []
-            entries = self.spark.table(names[0])
-            for name in names[1:]:  # no line is in two of them
-                entries = entries.unionByName(self.spark.table(name))
             if level + 1 == len(self.levels):
                 self.levels.append([])
             older = self.runs()
             # updates of entries of older levels stay; those of the compacted runs are folded in
-            merged = self._write(self._updated(entries, self.updates))
+            merged = self._write(self._updated(self._merged(names), self.updates))
             left = []
             for name in self.updates if older else []:
                 rest = self.spark.table(name).join(self.spark.table(merged).select("a", "b"), ["a", "b"], "left_anti")
@@ -121,10 +126,7 @@ class LineRuns:
 
     def frequent(self, min_docs: int) -> DataFrame:
         """(a, b, top) of the lines that at least ``min_docs`` documents hold, over all runs."""
-        parts = [self._updated(self.spark.table(name), self.updates) for name in self.runs()]
-        entries = parts[0]
-        for part in parts[1:]:
-            entries = entries.unionByName(part)
+        entries = self._updated(self._merged(self.runs()), self.updates)
         return entries.where(F.col("docs") >= min_docs).select("a", "b", "top")
 
     def close(self) -> None:
