@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -51,6 +52,11 @@ class Workspace:
         df.write.options(**options).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def release(self) -> None:
+        """Lets Spark's cleaner remove shuffle files and checkpoints that nothing refers to; it waits for a collection on the driver."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, name: str = "") -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}".rstrip("/"))
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -340,6 +340,7 @@ def test_quotes_keep_every_message(spark):
 @pytest.mark.parametrize("crowd", [16, 0])
 def test_near_duplicates(spark, rows, docs, no_docs, crowd, monkeypatch):
     monkeypatch.setattr(similar, "CROWD", crowd)
+    monkeypatch.setattr(similar, "PAIRS", 64 if crowd else 1)
     monkeypatch.setattr(similar, "BLOCK", 2048 if crowd else 4)
     kept = similar.drop_near_duplicates(docs).select("doc_id", "text").collect()
     pairs = brute.jaccard_groups(rows)
@@ -357,9 +358,11 @@ def test_near_duplicates(spark, rows, docs, no_docs, crowd, monkeypatch):
     assert similar.drop_near_duplicates(no_docs).count() == 0
 
 
-def test_near_duplicates_in_crowds(spark, monkeypatch):
+@pytest.mark.parametrize("pairs", [0, 64])
+def test_near_duplicates_in_crowds(spark, monkeypatch, pairs):
     """In crowded cells too the shingles decide: pairs just at 0.8 are linked, pairs just below are not."""
     monkeypatch.setattr(similar, "CROWD", 0)
+    monkeypatch.setattr(similar, "PAIRS", pairs)
     rng = random.Random(8)
     rows = []
     for i in range(0, 120, 2):
@@ -386,7 +389,7 @@ def test_near_duplicates_of_few_words(spark):
     assert kept == set(range(600)) - {max(p) for p in pairs}
 
 
-def test_crowded_block():
+def test_crowded_block(monkeypatch):
     """A block's links are those of the shingles, whatever the pieces."""
     rng = random.Random(2)
     base = rng.sample(range(10**9), 100)
@@ -397,9 +400,14 @@ def test_crowded_block():
             own.discard(rng.choice(sorted(own)))
             own.add(rng.randrange(10**9))
         sets.append(own)
-    rows = [{"side": side, "c": k, "g": len(x), "label": k, "grams": sorted(x)} for side in (0, 1) for k, x in enumerate(sets)]
-    schema = pa.schema([("side", pa.int32()), ("c", pa.int64()), ("g", pa.int32()), ("label", pa.int64()), ("grams", pa.list_(pa.int64()))])
+    monkeypatch.setattr(similar, "gram_hashes", lambda text: np.array(sorted(map(int, text.split())), np.uint64))
+    counts = [similar.segment_counts(np.array(sorted(x), np.uint64)) for x in sets]
+    rows = [{"side": side, "c": k, "g": len(x), "label": k, "m": counts[k], "text": " ".join(map(str, x)).encode()} for side in (0, 1) for k, x in enumerate(sets)]
+    schema = pa.schema([("side", pa.int32()), ("c", pa.int64()), ("g", pa.int32()), ("label", pa.int64()), ("m", pa.binary()), ("text", pa.binary())])
     got = similar._joined(pa.Table.from_pylist(rows, schema)).to_pylist()
+    for a in range(80):  # the bound never refuses a pair that the shingles link
+        near, _ = similar._near(np.frombuffer(b"".join(counts), np.uint8).reshape(80, -1).astype(np.int16), np.array([len(x) for x in sets]), a, np.arange(80))
+        assert {b for b in range(80) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])} <= set(near.tolist())
     root, expect = list(range(80)), list(range(80))
 
     def find(of, k):
