@@ -2,6 +2,7 @@
 
 import math
 import random
+import zlib
 
 import brute
 import numpy as np
@@ -177,11 +178,50 @@ def test_language_model(spark, tables, rows, no_docs):
     assert language_model.score_documents(no_docs, "doc_id", "text", F.lit(False)).count() == 0
 
 
-def test_language_model_is_normalised():
-    rng = np.random.default_rng(0)
-    pairs = np.stack([rng.integers(0, language_model.SYMBOLS, 500), rng.integers(0, language_model.SYMBOLS, 500), rng.integers(1, 50, 500)], axis=1)
-    table = language_model.log_table(*language_model.noise_contrastive(pairs, steps=20))
-    assert np.allclose((10.0**table.astype(float)).sum(axis=1), 1, atol=1e-4)
+@pytest.mark.parametrize("chunk", [1 << 24, 9000])
+def test_language_model_by_definition(spark, rows, chunk, monkeypatch):
+    """The scores are what the model's parameters say, and its probabilities after any word sum to one."""
+    from glyphmill.llm.common import workspace
+
+    monkeypatch.setattr(language_model, "CHUNK", chunk)
+    monkeypatch.setattr(language_model, "LEAST", 20_000)
+    monkeypatch.setattr(language_model, "FEWEST", 40)
+    made = [(None if i is None else str(i), k % 3 == 1, t or "") for k, (i, t) in enumerate(rows)]
+    with workspace(spark, "test") as ws:
+        before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        chunks = ws.write(language_model.chunked(spark.createDataFrame(made, "id string, held boolean, text string").coalesce(2)), "chunks")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+        totals = language_model.word_counts(chunks, ws)
+        model = language_model.learn(chunks, totals)
+        got = ordered((r.id, r.held_out, r.n_tokens, round(r.score, 6)) for r in language_model.score(chunks, totals, model).collect())
+        assert (chunks.count() > 4) == (chunk < 10_000)
+    classes, end = len(model.class_sums), len(model.words)
+    logits = model.contexts.astype(float) @ model.targets[:, :-1].T.astype(float) + model.targets[:, -1]
+    assert np.allclose(np.exp(logits - model.normalisers[:, None]).sum(axis=1), 1, atol=1e-4)
+    counts = {}
+    for _, held, t in made:
+        for w in () if held else brute.words(t.translate(brute.UP)):
+            counts[w.encode()] = counts.get(w.encode(), 0) + 1
+    assert model.words == sorted(counts, key=lambda w: (-counts[w], w))[:end] and len(model.words) < len(counts)
+    place = {w: k for k, w in enumerate(model.words)}
+    kind = lambda w: end + 1 + zlib.crc32(w[-3:]) % classes
+    sums = {}
+    for w, c in counts.items():
+        if w not in place:
+            sums[kind(w)] = sums.get(kind(w), 0) + c + 1
+    expect = []
+    for i, held, t in made:
+        last, total = end, 0.0
+        ws = [w.encode() for w in brute.words(t.translate(brute.UP))]
+        for w in [*ws, None]:
+            s = end if w is None else place.get(w, kind(w))
+            total += (logits[last, s] - model.normalisers[last]) / math.log(10)
+            total += math.log10((counts.get(w, 0) + 1) / (sums.get(s, 0) + 1)) if s > end else 0
+            last = s
+        expect.append((i, held, len(ws) + 1, total))
+    for x, y in zip(got, ordered((i, h, n, round(s, 6)) for i, h, n, s in expect), strict=True):
+        assert x[:3] == y[:3] and math.isclose(x[3], y[3], rel_tol=1e-4)
 
 
 def test_language_model_learns(spark):
