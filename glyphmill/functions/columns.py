@@ -30,8 +30,9 @@ def convert_with(col: Column, plan: Plan) -> Column:
 
     @F.pandas_udf("binary")
     def convert(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        of = kernel.converter(settled)
         for s in batches:
-            yield s.map(lambda b: None if b is None else kernel.convert(bytes(b), settled))
+            yield pd.Series([None if b is None else of(bytes(b)) for b in s], dtype=object)
 
     return convert(col)
 

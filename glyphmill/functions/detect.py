@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from .once import once
 from .tables import G3, from_sjis, jis_to_unicode, unicode_to_jis
 
 #: What makes a candidate less likely, the higher the bit the worse.
@@ -24,7 +25,8 @@ CHARS = {
     "sjis": rb"[\xa1-\xdf]|[\x81-\x9f\xe0-\xea\xed\xee\xf0-\xfc][\x40-\x7e\x80-\xfc]",
     "utf8": rb"[\xc0-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}",
 }
-WHOLE = {k: re.compile(rb"(?:[\x00-\x7f]|%b)*" % v) for k, v in CHARS.items()}
+WHOLE = {k: re.compile(rb"(?:[\x00-\x7f]++|%b)*+" % v) for k, v in CHARS.items()}
+BEYOND_ASCII = re.compile(rb"[\x80-\xff]")
 EACH = {k: re.compile(v) for k, v in CHARS.items()}
 #: What may still become a character.
 PARTIAL = {
@@ -68,10 +70,18 @@ def mark(kind: str, char: bytes) -> int:
     return _plane1(code) if code >= 0x2121 else 0
 
 
+@once
+def known_marks(kind: str) -> dict[bytes, int]:
+    """The marks of characters that the worker process has met."""
+    return {}
+
+
 def marks(kind: str, data: bytes) -> int:
-    out = 0
+    out, met = 0, known_marks(kind)
     for char in set(EACH[kind].findall(data)):
-        out |= mark(kind, char)
+        if (m := met.get(char)) is None:
+            m = met[char] = mark(kind, char)
+        out |= m
     return out
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..plans.plan import Plan
 from .once import once
-from .tables import GETA, KANA, LATIN, UNICODE
+from .tables import GETA, KANA, LATIN, UNICODE, from_sjis
 
 VOICED, HALF_VOICED = KANA | 0x5E, KANA | 0x5F
 #: Half-width kana in the order of their codes from 0x21, and what they are in full width.
@@ -38,8 +38,6 @@ def kana_tables() -> tuple[dict, dict, dict, dict]:
 @once
 def signs() -> dict[int, int]:
     raw = {c: c.encode("cp932") for c in SIGNS}
-    from .tables import from_sjis
-
     return {from_sjis(*raw[c]): ord(a) for c, a in SIGNS.items()}
 
 
