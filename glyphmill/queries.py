@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from .functions import columns as C
 from .functions import native as N
+from .known import GUESSED, KNOWN
+from .operators.transcoder import Transcoder, register_codecs
 
 ASCII = "".join(chr(c) for c in range(0x30, 0x7B) if chr(c).isalnum())
 WIDE = "".join(chr(ord(c) + 0xFEE0) for c in ASCII)
@@ -115,14 +117,26 @@ on_documents("url_input", lambda t: C.transcode(F.regexp_replace(F.hex(F.encode(
 on_documents("cap_input", lambda t: C.transcode(F.regexp_replace(F.hex(F.encode(t, "UTF-8")), "(..)", ":$1"), "--cap-input", *KEEP).cast("string"), "text")
 on_documents("numchar_input", lambda t: C.transcode(F.concat(F.lit("&#12354;"), F.lit("&#x3044;"), t), "--numchar-input", *KEEP).cast("string"), "'あい' || text")
 on_documents("nfc_input", lambda t: C.transcode(F.replace(in_kana(t, HIRA), F.lit("か"), F.lit("が")), "--utf8mac-input", *KEEP).cast("string"), f"replace({_kana_sql.format(HIRA)}, 'か', 'が')")
-on_documents("mime_decode_b", lambda t: C.transcode(F.concat(F.lit("=?UTF-8?B?"), F.replace(F.base64(F.encode(F.substring(in_kana(t, HIRA), 1, 40), "UTF-8")), F.lit("\r\n"), F.lit("")), F.lit("?=")), "-W", "-w", "-x").cast("string"), f"substring({_kana_sql.format(HIRA)}, 1, 40)")
+
+def in_words(t: Column, size: int = 30) -> Column:
+    """The whole text as encoded words of ``size`` characters each, with blanks between them."""
+    pieces = F.regexp_extract_all(t, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    return F.array_join(F.transform(pieces, lambda x: F.concat(F.lit("=?UTF-8?B?"), F.regexp_replace(F.base64(F.encode(x, "UTF-8")), "[\r\n]", ""), F.lit("?="))), " ")
+
+
+on_documents("mime_decode_b", lambda t: C.transcode(in_words(in_kana(t, HIRA)), "-W", "-w", "-x").cast("string"), _kana_sql.format(HIRA))
 on_documents("base64_fixed", lambda t: C.transcode(t, "-W", "-wMB", "-m0", "-x").cast("string"), r"regexp_replace(base64(encode(text)), '([A-Za-z0-9+/]{72})', '\1' || chr(10), 'g')")
 for _name, _out, _in in (("sjis", "-s", "-S"), ("euc", "-e", "-E"), ("jis", "-j", "-J"), ("euc_jis_2004", "--oc=EUC-JIS-2004", "--ic=EUC-JIS-2004"), ("utf16", "-w16", "-W16")):
     on_documents(f"round_trip_{_name}", lambda t, o=_out, i=_in: C.transcode(C.transcode(F.translate(in_kana(t, HIRA), "éèêàâîïôöùûüçäßñóíáúœëüÿæ¡¿ºª«»·", ""), "-W", o, "-m0", "-x"), i, "-w", "-m0", "-x").cast("string"), f"translate({_kana_sql.format(HIRA)}, 'éèêàâîïôöùûüçäßñóíáúœëüÿæ¡¿ºª«»·', '')")
     on_documents(f"guess_{_name}", lambda t, o=_out: C.guess_encoding(C.transcode(in_kana(t, HIRA), "-W", o, "-m0", "-x")))
 on_documents("fold_60", lambda t: C.fold_text(t, 60, 10))
-on_documents("mime_encode", lambda t: C.mime_encode(F.substring(in_kana(t, HIRA), 1, 80), "-j").cast("string"))
-on_documents("mime_round_trip", lambda t: C.transcode(C.mime_encode(F.regexp_replace(F.substring(in_kana(t, HIRA), 1, 30), "[^あ-の]", ""), "-j"), "-J", "-w", "-x").cast("string"), f"regexp_replace(substring({_kana_sql.format(HIRA)}, 1, 30), '[^あ-の]', '', 'g')")
+on_documents("mime_encode", lambda t: C.mime_encode(in_kana(t, HIRA), "-j").cast("string"))
+on_documents("mime_round_trip", lambda t: C.transcode(C.mime_encode(F.regexp_replace(in_kana(t, HIRA), "[^あ-の]", ""), "-j"), "-J", "-w", "-x").cast("string"), f"regexp_replace({_kana_sql.format(HIRA)}, '[^あ-の]', '', 'g')")
+# what Shift_JIS can't say becomes numbered characters, and these are read again
+on_documents("round_trip_fallback", lambda t: C.transcode(C.transcode(in_kana(t, HIRA), "-W", "-s", "-m0", "-x", "--fb-html"), "-S", "-w", "-m0", "-x", "--numchar-input").cast("string"), _kana_sql.format(HIRA))
+on_documents("quoted_printable_round_trip", lambda t: C.transcode(C.transcode(t, "-W", "-wMQ", "-m0", "-x"), "-mQ", "-W", "-w", "-x").cast("string"), "text")
+on_documents("base64_round_trip", lambda t: C.transcode(C.transcode(t, "-W", "-wMB", "-m0", "-x"), "-mB", "-W", "-w", "-x").cast("string"), "text")
+on_documents("fold_keeps_lines", lambda t: F.regexp_replace(C.fold_text(F.regexp_replace(t, "[^a-z\n]", ""), 60, 0, True).cast("string"), "\n", ""), "regexp_replace(text, '[^a-z]', '', 'g')")
 
 AI = "E38182E38184"  # two hiragana, in UTF-8
 on_rows("output_sjis", [(AI, "82A082A2"), ("EFBDB1", "B1"), ("E68489", "96F9")], lambda c: F.hex(C.transcode(c, "-W", "-s", "-x", "-m0")))
@@ -140,3 +154,63 @@ def eol_counts_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["eol_counts_by_kind"] = eol_counts_by_kind
 ORACLE_SQL["eol_counts_by_kind"] = "SELECT CASE WHEN text LIKE '%' || chr(10) || '%' THEN 'LF' END AS eol, count(*) AS docs FROM documents GROUP BY 1"
+
+
+def known_conversions(name: str) -> Query:
+    """Each row by its own options; result in hex."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        data = spark.createDataFrame([(o, s) for o, s, _ in KNOWN[name]], "options string, source string")
+        result = F.lit(None).cast("string")
+        for options in sorted({o for o, _, _ in KNOWN[name]}):
+            result = F.when(F.col("options") == options, F.hex(C.transcode(F.unhex("source"), options))).otherwise(result)
+        return data.select("options", "source", result.alias("result"))
+
+    return run
+
+
+for _name, _rows in KNOWN.items():
+    QUERIES[f"known_{_name}"] = known_conversions(_name)
+    ORACLE_SQL[f"known_{_name}"] = "SELECT * FROM (VALUES " + ", ".join(f"('{o}', '{s}', '{r}')" for o, s, r in _rows) + ") AS t(options, source, result)"
+
+
+def known_guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = spark.createDataFrame([(s,) for s, _, _ in GUESSED], "source string")
+    guess = C.guess_detail(F.unhex("source"))
+    return data.select("source", guess["encoding"].alias("encoding"), guess["eol"].alias("eol"), Transcoder().guess(F.unhex("source")).alias("by_transcoder"))
+
+
+QUERIES["known_guesses"] = known_guesses
+ORACLE_SQL["known_guesses"] = "SELECT source, encoding, eol, encoding AS by_transcoder FROM (VALUES " + ", ".join(f"('{s}', '{e}', {f"'{line}'" if line else 'NULL'})" for s, e, line in GUESSED) + ") AS t(source, encoding, eol)"
+
+
+def guess_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of kana and ASCII letters, written in turn in five encodings, and what they seem to be."""
+    out = {0: "-s", 1: "-e", 2: "-j", 3: "-w", 4: "-w16"}
+    text = F.concat(F.lit("これはかなのぶんしょうです"), F.regexp_replace(in_kana(F.col("text"), HIRA), "[^あ-の\n]", ""))
+    written = F.lit(None).cast("binary")
+    for k, flag in out.items():
+        written = F.when(F.col("doc_id") % 5 == k, C.transcode(text, "-W", flag, "-m0", "-x")).otherwise(written)
+    guess = C.guess_detail(written)
+    return documents(spark, sf_dir).select("doc_id", guess["encoding"].alias("encoding"), guess["eol"].alias("eol"))
+
+
+QUERIES["guess_documents"] = guess_documents
+ORACLE_SQL["guess_documents"] = (
+    "SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'Shift_JIS' WHEN 1 THEN 'EUC-JP' WHEN 2 THEN 'ISO-2022-JP' WHEN 3 THEN 'UTF-8' ELSE 'UTF-16' END AS encoding, "
+    "CASE WHEN text LIKE '%' || chr(10) || '%' THEN 'LF' END AS eol FROM documents"
+)
+
+
+def transcoder_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text through a codec and back, with what each direction consumed; and through the SQL functions of a registered one."""
+    t, sql = Transcoder("-m0", "-x", encoding="EUC-JP"), register_codecs(spark)["sjis"]
+    text = F.regexp_replace(in_kana(F.col("text"), HIRA), "[^あ-の\na-zA-Z]", "")
+    docs = documents(spark, sf_dir).select("doc_id", text.alias("t")).select("doc_id", "t", t.encode("t").alias("e"))
+    back = docs.select("doc_id", "t", "e", t.decode("e.value").alias("d"))
+    return back.select("doc_id", F.col("e.consumed").alias("characters"), F.col("d.consumed").alias("bytes"), F.col("d.value").alias("result"), F.expr(f"{sql.decode}({sql.encode}(t))").alias("by_sql"))
+
+
+QUERIES["transcoder_codec"] = transcoder_codec
+_plain = f"regexp_replace({_kana_sql.format(HIRA)}, '[^あ-の\na-zA-Z]', '', 'g')"
+ORACLE_SQL["transcoder_codec"] = f"SELECT doc_id, length(t)::INT AS characters, (length(t) + length(regexp_replace(t, '[^あ-の]', '', 'g')))::INT AS bytes, t AS result, t AS by_sql FROM (SELECT doc_id, {_plain} AS t FROM documents)"
