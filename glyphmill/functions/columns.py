@@ -95,8 +95,13 @@ def encode_text(col: Column | str, *options: str) -> Column:
 
 
 def decode_text(col: Column | str, *options: str, errors: str = "strict") -> Column:
-    """Bytes to text; the options name the input. The kernel's UTF-8 is always valid, so ``errors`` never matters."""
-    del errors
+    """Bytes to text; the options name the input.
+
+    ``errors`` names how the last step, from UTF-8, treats what isn't valid: strict, ignore or replace (ValueError for
+    others). The kernel drops what isn't a character before that, so its UTF-8 is valid and all of them give the same.
+    """
+    if errors not in ("strict", "ignore", "replace"):
+        raise ValueError(f"unknown error handling: {errors}")
     return F.decode(transcode(col, "-m0", "-x", *options, "-w"), "UTF-8")
 
 

@@ -49,6 +49,8 @@ class Plan:
     kanji_in: bytes = b"B"
     ascii_in: bytes = b"B"
     no_output: bool = False
+    guess: int = 0  # tell the encoding (1) and the line ends (2) in place of an output
+    debug: bool = False  # name the encodings on standard error; the output stays
 
     def settled(self) -> Plan:
         """The plan with all that its encodings imply, the input's first."""
@@ -84,6 +86,7 @@ SETTINGS = {
     "url-input": {"url": True},
     "numchar-input": {"numchar": True},
     "no-output": {"no_output": True},
+    "debug": {"debug": True},
     "fb-skip": {"fallback": ""},
     "fb-html": {"fallback": "html"},
     "fb-xml": {"fallback": "xml"},
@@ -172,6 +175,8 @@ def _long(p: Plan, word: str) -> Plan:
         except ValueError:
             return p
         return replace(p, fallback="subchar", substitute=code)
+    if name == "guess" and "=" in word:
+        return replace(p, guess=1 if value[:1] in ("0", "1") else 2, no_output=True)
     if name == "prefix" and value:
         return replace(p, escape=ord(value[0]) & 0xFF, escapes=frozenset(value[1:].encode("latin-1", "ignore")))
     return replace(p, **SETTINGS.get(word, {}))

@@ -53,10 +53,21 @@ def convert_chunks(stream: DataFrame, *options: str, key: str = "stream_id", ord
     return named.groupBy("k").applyInPandasWithState(run, "key string, content binary", "seqs array<long>, held array<binary>, ends array<boolean>", "append", GroupStateTimeout.NoTimeout)
 
 
+def encode_chunks(stream: DataFrame, *options: str, key: str = "stream_id", order: str = "seq", chunk: str = "chunk", final: str = "final") -> DataFrame:
+    """(key, content binary) of streams whose chunks are text (string); the options name the output."""
+    return convert_chunks(stream, "-W", "-m0", "-x", *options, key=key, order=order, chunk=chunk, final=final)
+
+
+def decode_chunks(stream: DataFrame, *options: str, key: str = "stream_id", order: str = "seq", chunk: str = "chunk", final: str = "final") -> DataFrame:
+    """(key, content string) of streams whose chunks are bytes; the options name the input."""
+    done = convert_chunks(stream, "-m0", "-x", *options, "-w", key=key, order=order, chunk=chunk, final=final)
+    return done.withColumn("content", F.decode("content", "UTF-8"))
+
+
 def write_encoded(stream: DataFrame, column: str, path: str, checkpoint: str, *options: str):
-    """A streaming sink of the converted column: each micro-batch is one Parquet append."""
+    """A streaming sink of the converted column: each micro-batch is a folder of its own, written anew if the batch is repeated."""
 
-    def save(batch: DataFrame, _: int) -> None:
-        convert_messages(batch, column, *options).write.mode("append").parquet(path)
+    def save(batch: DataFrame, number: int) -> None:
+        convert_messages(batch, column, *options).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).start()

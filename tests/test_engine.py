@@ -7,7 +7,7 @@ import glyphmill.queries as Q
 from glyphmill.functions import columns as C
 from glyphmill.operators.transcoder import Transcoder, register_codecs
 from glyphmill.sources.files import convert_files, guess_files, read_lines, read_pieces, write_files
-from glyphmill.streaming.chunks import convert_chunks
+from glyphmill.streaming.chunks import convert_chunks, convert_messages, decode_chunks, encode_chunks, write_encoded
 
 SF = "/root/testdata/sf0.001"
 
@@ -83,6 +83,43 @@ def test_chunks(spark, tmp_path):
     assert sorted((r.key, bytes(r.content).decode()) for r in spark.table("chunks").collect()) == [("x", "日本語"), ("y", "abc")]
 
 
+def ended(query):
+    query.awaitTermination(120)
+    assert not query.isActive and query.exception() is None
+
+
+def test_text_chunks(spark, tmp_path):
+    """Text in pieces to bytes, and bytes in pieces, cut within a character, back to text."""
+    spark.createDataFrame([("x", 0, "日", False), ("x", 1, "本語", True), ("y", 0, None, False), ("y", 1, "", True)], "stream_id string, seq int, chunk string, final boolean").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("stream_id string, seq int, chunk string, final boolean").parquet(str(tmp_path / "in"))
+    ended(encode_chunks(stream, "-e").writeStream.format("memory").queryName("encoded").option("checkpointLocation", str(tmp_path / "a")).trigger(availableNow=True).start())
+    assert sorted((r.key, bytes(r.content)) for r in spark.table("encoded").collect()) == [("x", "日本語".encode("euc_jp")), ("y", b"")]
+    raw = "日本語".encode("euc_jp")
+    spark.createDataFrame([("x", 0, raw[:3], False), ("x", 1, raw[3:], True)], "stream_id string, seq int, chunk binary, final boolean").write.parquet(str(tmp_path / "bytes"))
+    stream = spark.readStream.schema("stream_id string, seq int, chunk binary, final boolean").parquet(str(tmp_path / "bytes"))
+    ended(decode_chunks(stream, "-E").writeStream.format("memory").queryName("decoded").option("checkpointLocation", str(tmp_path / "b")).trigger(availableNow=True).start())
+    assert [tuple(r) for r in spark.table("decoded").collect()] == [("x", "日本語")]
+
+
+def test_messages_and_sink(spark, tmp_path):
+    spark.createDataFrame([(1, "日本".encode("shift_jis")), (2, None)], "id int, body binary").write.parquet(str(tmp_path / "in"))
+    batch = spark.read.parquet(str(tmp_path / "in"))
+    assert {r.id: r.body and bytes(r.body) for r in convert_messages(batch, "body", "-S", "-w").collect()} == {1: "日本".encode(), 2: None}
+    for _ in range(2):  # a query that is started again from its checkpoint adds nothing
+        query = write_encoded(spark.readStream.schema("id int, body binary").parquet(str(tmp_path / "in")), "body", str(tmp_path / "out"), str(tmp_path / "cp"), "-S", "-e")
+        query.processAllAvailable()
+        query.stop()
+    assert {r.id: r.body and bytes(r.body) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {1: "日本".encode("euc_jp"), 2: None}
+
+
+def test_error_handling(spark):
+    df = spark.createDataFrame([(b"\x82\xa0\xff\x41\x80",)], "b binary")
+    rows = [df.select(C.decode_text("b", "-S", errors=e).alias("t")).first().t for e in ("strict", "ignore", "replace")]
+    assert len(set(rows)) == 1 and rows[0].startswith("あ")
+    with pytest.raises(ValueError):
+        C.decode_text("b", errors="klingon")
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
