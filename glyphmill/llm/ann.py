@@ -12,7 +12,7 @@ index in blocks of bounded size, each task keeps its best few, and those meet by
 Defined results. Vectors that are null, empty, zero or hold null or non-finite components take no part, as query or
 as candidate; nor do those of another than the most frequent dimension (the smaller at ties), or without an id.
 Rows that repeat a vec_id are candidates of their own but never neighbours of their own id; a repeated query answers
-once. Equal scores go to the smaller vec_id. Empty tables give empty results.
+once, by the least of its vectors. Equal scores go to the smaller vec_id. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -117,7 +117,7 @@ def build(rows: DataFrame, ws, books: int = BOOKS) -> tuple[DataFrame, np.ndarra
 
 def search(index: DataFrame, books: np.ndarray, queries: DataFrame, k: int = 5) -> DataFrame:
     """(query, id, score): each task's best k of its part of the index, for a block of queries (id, v)."""
-    found = queries.dropDuplicates(["id"]).toPandas()
+    found = queries.groupBy("id").agg(F.min("v").alias("v")).toPandas()
     names, x = found["id"].to_numpy(np.int64), np.stack(found["v"].to_list())
     sent = index.sparkSession.sparkContext.broadcast((names, unit(x), books))
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import gc
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -17,11 +19,20 @@ BLANKS = " \t\n\x0b\x0c\r"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; where it is unset (a local session), a temporary one."""
+    """The folder that spark.checkpoint.dir names.
+
+    Where it is unset, a local session gets a temporary one, which goes when Python ends; on a cluster, whose executors
+    wouldn't share such a folder, it is an error.
+    """
     sc = spark.sparkContext
     if not (there := sc.getCheckpointDir()):
         named = spark.conf.get("spark.checkpoint.dir", "") or sc.getConf().get("spark.checkpoint.dir", "")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="glyphmill-checkpoint-"))
+        if not named:
+            if not (sc.master == "local" or sc.master.startswith("local[")):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            named = tempfile.mkdtemp(prefix="glyphmill-checkpoint-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        sc.setCheckpointDir(named)
         there = sc.getCheckpointDir()
     return there
 
@@ -38,6 +49,11 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Workspace:
     """A folder of intermediate Parquet tables in the shared folder; the tables go when the work is over."""
 
@@ -58,8 +74,7 @@ class Workspace:
         self.spark._jvm.System.gc()
 
     def drop(self, name: str = "") -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}".rstrip("/"))
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(self.spark, f"{self.root}/{name}".rstrip("/"))
 
 
 @contextlib.contextmanager
@@ -73,7 +88,11 @@ def workspace(spark: SparkSession, name: str) -> Iterator[Workspace]:
 
 
 def keep(df: DataFrame) -> DataFrame:
-    """Computes a table now and cuts its lineage by a reliable checkpoint, which Spark's cleaner removes."""
+    """Computes a table now and cuts its lineage by a reliable checkpoint.
+
+    Spark's cleaner removes it when nothing refers to it any more, if spark.cleaner.referenceTracking.cleanCheckpoints is
+    set when the session begins; else it stays in the folder of the session.
+    """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 

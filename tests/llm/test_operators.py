@@ -463,3 +463,44 @@ def test_crowded_block(monkeypatch):
             if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
                 expect[find(expect, a)] = find(expect, b)
     assert all((find(root, a) == find(root, b)) == (find(expect, a) == find(expect, b)) for a in range(80) for b in range(80))
+
+
+def test_shared_folder_on_a_cluster():
+    """Without a named folder only a local session gets one of its own."""
+    from types import SimpleNamespace
+
+    from glyphmill.llm import common
+
+    there = []
+    conf = SimpleNamespace(get=lambda name, other="": other)
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: there[0] if there else None, setCheckpointDir=there.append, getConf=lambda: conf)
+    with pytest.raises(RuntimeError):
+        common.shared_dir(SimpleNamespace(sparkContext=sc, conf=conf))
+    sc.master = "local[2]"
+    assert "glyphmill-checkpoint" in common.shared_dir(SimpleNamespace(sparkContext=sc, conf=conf))
+
+
+CLEAN_WORKERS = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config("spark.sql.warehouse.dir", {folder!r}).getOrCreate()
+import __spark_entry__ as entry
+for name in {names!r}:
+    assert entry.queries()[name](spark, "/root/testdata/sf0.001").count() > 0, name
+print("fine")
+"""
+
+
+def test_workers_need_no_package(tmp_path):
+    """Queries run though the package isn't on the workers' path."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    names = ["op2_language_model", "op3_toxicity", "op10_quotes", "fullwidth_to_ascii", "known_guesses"]
+    code = CLEAN_WORKERS.format(root=str(Path(__file__).resolve().parents[2]), folder=str(tmp_path / "w"), names=names)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert "fine" in done.stdout, done.stderr[-2000:]
