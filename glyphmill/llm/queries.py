@@ -24,7 +24,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": line_dedup.SQL,
+    "op5_suffixes": suffix_dedup.SQL,
     "op6_substrings": substrings.SQL,
     "op7_decontaminate": decontaminate.SQL,
     "op9_mixing": mixing.SQL,
+    "op10_quotes": quotes.SQL,
+    "quoted_replies": quotes.QUOTED_SQL,
 }

@@ -243,6 +243,32 @@ def op10_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("conv_id", F.col("_thread").alias("thread"), "turn", "role", F.col("_parent").alias("parent"), F.col("_quotes").alias("n_quotes"), F.col("_linked").alias("n_linked"), F.sha2(F.encode("_said", "UTF-8"), 256).alias("said_sha256"))
 
 
+#: What the messages of a table m (r, c, t, role, text) say, quote and link; each passage is held against all earlier messages of its conversation.
+_LINKED = r"""
+l AS (SELECT r, c, t, i, line, length(regexp_replace(regexp_extract(line, '^[ \t]*(>[> \t]*)', 1), '[^>]', '', 'g')) AS level,
+             trim(regexp_replace(translate(regexp_replace(line, '^[ \t]*>[> \t]*', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
+      FROM (SELECT r, c, t, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM (SELECT *, regexp_split_to_array(text, '\r\n|\r|\n') AS ls FROM m))),
+u AS (SELECT *, sum(begins) OVER (PARTITION BY r ORDER BY i) AS run, sum((level > 0 OR norm = '')::INT) OVER (PARTITION BY r ORDER BY i) AS par
+      FROM (SELECT *, (level IS DISTINCT FROM lag(level) OVER (PARTITION BY r ORDER BY i))::INT AS begins FROM l)),
+q AS (SELECT r, c, t, min(i) AS place, level, list(norm ORDER BY i) FILTER (WHERE norm <> '') AS ls FROM u WHERE level > 0 AND t IS NOT NULL GROUP BY r, c, t, level, run HAVING count(*) FILTER (WHERE norm <> '') > 0),
+par AS (SELECT r, string_agg(norm, ' ' ORDER BY i) AS text FROM u WHERE level = 0 AND norm <> '' GROUP BY r, par),
+o AS (SELECT r, c, t, list(norm ORDER BY i) AS own FROM u WHERE level = 0 AND norm <> '' GROUP BY r, c, t),
+x AS (SELECT q.r, q.c, q.t, q.place, q.level, max(o.t) AS parent
+      FROM q LEFT JOIN o ON o.c IS NOT DISTINCT FROM q.c AND o.t < q.t
+       AND (array_to_string(o.own, ' ') = array_to_string(q.ls, ' ') OR EXISTS (SELECT 1 FROM par WHERE par.r = o.r AND par.text = array_to_string(q.ls, ' '))
+            OR len(list_filter(range(1, len(o.own) - len(q.ls) + 2), lambda k: o.own[k:k + len(q.ls) - 1] = q.ls)) > 0)
+      GROUP BY q.r, q.c, q.t, q.place, q.level),
+n AS (SELECT c, t, count(*) AS n_quotes, count(parent) AS n_linked, (min({'level': level, 'place': place, 'parent': parent}) FILTER (WHERE parent IS NOT NULL)).parent AS parent FROM x GROUP BY c, t),
+up AS (SELECT c, t, parent AS top FROM n WHERE parent IS NOT NULL UNION ALL SELECT up.c, up.t, n.parent FROM up JOIN n ON n.c IS NOT DISTINCT FROM up.c AND n.t = up.top WHERE n.parent IS NOT NULL),
+root AS (SELECT c, t, min(top) AS thread FROM up GROUP BY c, t),
+said AS (SELECT r, trim(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE level = 0), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said FROM l GROUP BY r)
+SELECT m.c AS conv_id, coalesce(root.thread, m.t)::BIGINT AS thread, m.t AS turn, {role}n.parent AS parent, coalesce(n_quotes, 0)::BIGINT AS n_quotes, coalesce(n_linked, 0)::BIGINT AS n_linked{said}
+FROM m JOIN said USING (r) LEFT JOIN n ON n.c IS NOT DISTINCT FROM m.c AND n.t = m.t LEFT JOIN root ON root.c IS NOT DISTINCT FROM m.c AND root.t = m.t
+"""
+
+SQL = "WITH RECURSIVE m AS (SELECT row_number() OVER () AS r, conv_id AS c, turn AS t, role, coalesce(text, '') AS text FROM conversations)," + _LINKED.replace("{role}", "m.role, ").replace("{said}", ", sha256(coalesce(said, '')) AS said_sha256")
+
+
 def quoted_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conversations as if each message quoted the whole one before it, linked: the given tables hold no quotes."""
     messages = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "text")
@@ -251,3 +277,11 @@ def quoted_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = messages.join(before, ["conv_id", "turn"], "left").select("conv_id", "turn", F.concat(F.coalesce(quote, F.lit("")), F.col("text")).alias("text"))
     out = reply_order(both)
     return out.select("conv_id", F.col("_thread").alias("thread"), "turn", F.col("_parent").alias("parent"), F.col("_quotes").alias("n_quotes"), F.col("_linked").alias("n_linked"))
+
+
+QUOTED_SQL = (
+    r"""WITH RECURSIVE b AS (SELECT conv_id, turn + 1 AS turn, min(text) AS before FROM conversations GROUP BY ALL),
+m AS (SELECT row_number() OVER () AS r, conv_id AS c, turn AS t, coalesce(CASE WHEN before IS NULL THEN '' ELSE '> ' || regexp_replace(before, '\r\n?|\n', chr(10) || '> ', 'g') || chr(10) END || text, '') AS text
+      FROM conversations LEFT JOIN b USING (conv_id, turn)),"""
+    + _LINKED.replace("{role}", "").replace("{said}", "")
+)

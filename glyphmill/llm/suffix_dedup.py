@@ -194,5 +194,16 @@ def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"), F.col("_n_spans").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"))
 
 
-#: Windows of bytes are beyond SQL on whole tables; the tests compare with brute force.
-SQL = None
+SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+p AS (SELECT r, unnest(range(1, octet_length(b) - 398)) AS k FROM d WHERE octet_length(b) >= 400),
+w AS (SELECT r, k, md5(b[k:k + 399]) AS h FROM p JOIN d USING (r)),
+x AS (SELECT r, k, lag(k) OVER (PARTITION BY r ORDER BY k) AS last FROM (SELECT r, k, count(*) OVER (PARTITION BY h) AS n FROM w) WHERE n > 1),
+s AS (SELECT r, k, sum(CASE WHEN k <= last + 400 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY k) AS span FROM x),
+g AS (SELECT r, span, min(k) AS a, max(k) + 399 AS z FROM s GROUP BY r, span),
+t AS (SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS y FROM g),
+u AS (SELECT r, count(*) AS spans, sum(z - a + 1) AS gone, max(z) AS z, string_agg(CASE WHEN a > y + 1 THEN hex(b[y + 1:a - 1]) ELSE '' END, '' ORDER BY a) AS kept FROM t JOIN d USING (r) GROUP BY r)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+       sha256(CASE WHEN spans IS NULL THEN b ELSE unhex(kept || CASE WHEN z < octet_length(b) THEN hex(b[z + 1:octet_length(b)]) ELSE '' END) END) AS kept_sha256
+FROM d LEFT JOIN u USING (r)
+"""
