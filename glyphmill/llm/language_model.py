@@ -73,27 +73,42 @@ class Model(NamedTuple):
     normalisers: np.ndarray
 
 
-def tokenised(ids: pa.Array, held: np.ndarray, texts: pa.Array) -> pa.RecordBatch:
-    """One chunk of texts as a row; the words are lower-cased, the end isn't among the tokens."""
-    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
-    sizes = np.diff(split.offsets.to_numpy())
-    flat = split.flatten()
-    full = pc.not_equal(pc.binary_length(flat), 0)
-    of = np.repeat(np.arange(len(sizes)), sizes)[full.to_numpy(zero_copy_only=False)]
-    coded = flat.filter(full).dictionary_encode()
-    codes, n = coded.indices.to_numpy(), len(coded.dictionary)
-    often = np.argsort(-np.bincount(codes, minlength=n), kind="stable")  # small numbers for frequent words
-    number = np.empty(n, np.int32)
-    number[often] = np.arange(n)
-    codes = number[codes]
-    counts = np.bincount(codes[~held[of]], minlength=n)
-    one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-    body = packed(codes)
-    cols = [
-        pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([zlib.crc32(body)], pa.int64()), one(ids), one(pa.array(held)),
-        one(pa.array(np.bincount(of, minlength=len(sizes)).astype(np.int32))), one(coded.dictionary.take(pa.array(often)).cast(pa.binary())), one(pa.array(counts.astype(np.int64))), pa.array([body], pa.binary()),
-    ]
-    return pa.RecordBatch.from_arrays(cols, ["chunk", "seed", "ids", "held", "sizes", "words", "counts", "codes"])
+class Chunk:
+    """Texts of a chunk in the making: of each batch the ids, the flags, the sizes and the words, numbered by batch."""
+
+    def __init__(self):
+        self.ids, self.held, self.sizes, self.words, self.bytes = [], [], [], [], 0
+
+    def add(self, ids: pa.Array, held: np.ndarray, texts: pa.Array) -> None:
+        """Words are lower-cased; the end isn't among them."""
+        self.bytes += texts.nbytes
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        flat = split.flatten()
+        full = pc.not_equal(pc.binary_length(flat), 0)
+        before = np.concatenate(([0], np.cumsum(full.to_numpy(zero_copy_only=False))))
+        at = split.offsets.to_numpy() - split.offsets[0].as_py()
+        self.ids.append(ids)
+        self.held.append(held)
+        self.sizes.append(np.diff(before[at]).astype(np.int32))
+        self.words.append(flat.filter(full).dictionary_encode())
+
+    def row(self) -> pa.RecordBatch:
+        words = pa.chunked_array(self.words).unify_dictionaries()
+        dictionary, n = words.chunk(0).dictionary, len(words.chunk(0).dictionary)
+        codes = np.concatenate([w.indices.to_numpy() for w in words.chunks])
+        held, sizes = np.concatenate(self.held), np.concatenate(self.sizes)
+        often = np.argsort(-np.bincount(codes, minlength=n), kind="stable")  # small numbers for frequent words
+        number = np.empty(n, np.int32)
+        number[often] = np.arange(n)
+        codes = number[codes]
+        counts = np.bincount(codes[np.repeat(~held, sizes)], minlength=n)
+        one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+        body = packed(codes)
+        cols = [
+            pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([zlib.crc32(body)], pa.int64()), one(pa.concat_arrays(self.ids)), one(pa.array(held)),
+            one(pa.array(sizes)), one(dictionary.take(pa.array(often)).cast(pa.binary())), one(pa.array(counts.astype(np.int64))), pa.array([body], pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(cols, ["chunk", "seed", "ids", "held", "sizes", "words", "counts", "codes"])
 
 
 def packed(codes: np.ndarray) -> bytes:
@@ -108,22 +123,18 @@ def unpacked(body: pa.BinaryScalar) -> np.ndarray:
 def chunked(rows: DataFrame) -> DataFrame:
     """The texts (id, held, text) in chunks; a chunk's number is random, and fixed once the table is written."""
 
-    def made(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        t = pa.Table.from_batches(held).combine_chunks()
-        ids, flags, texts = (t.column(k).chunk(0) for k in range(3))
-        return tokenised(ids, flags.to_numpy(zero_copy_only=False), texts)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        now = Chunk()
         for b in batches:
             if len(b):
-                held.append(b)
-                size += b.column(2).nbytes
-            if size >= CHUNK:
-                yield made(held)
-                held, size = [], 0
-        if held:
-            yield made(held)
+                now.add(b.column(0), b.column(1).to_numpy(zero_copy_only=False), b.column(2))
+            if now.bytes >= CHUNK:
+                yield now.row()
+                now = Chunk()
+                pa.default_memory_pool().release_unused()
+        if now.ids:
+            yield now.row()
+        pa.default_memory_pool().release_unused()
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.select("id", "held", "text").mapInArrow(run, f"chunk long, seed long, ids array<{kind}>, held array<boolean>, sizes array<int>, words array<binary>, counts array<long>, codes binary")
@@ -140,7 +151,7 @@ def symbols_of(words: pa.Array, short: pa.Array, classes: int) -> tuple[np.ndarr
     """The symbols of words, and which of them are in the shortlist."""
     at = pc.index_in(words, value_set=short)
     known = at.is_valid().to_numpy(zero_copy_only=False)
-    return np.where(known, at.fill_null(0).to_numpy(), len(short) + 1 + class_of(words, classes)), known
+    return np.where(known, at.fill_null(0).to_numpy(), len(short) + 1 + class_of(words, classes)).astype(np.int32), known
 
 
 def sequence(tokens: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -245,10 +256,11 @@ def trained(chunks: DataFrame, p: Parameters, short: list[bytes], classes: int,
                 symbols, _ = symbols_of(own.values, words, classes)
                 tokens, begins = sequence(symbols[unpacked(codes)], sizes, len(short))
                 train = np.repeat(~held, sizes + 1)
-                context = np.concatenate(([len(short)], tokens[:-1]))[train]
+                context, target = np.concatenate((np.array([len(short)], np.int32), tokens[:-1]))[train], tokens[train]
                 for turn in range(passes):
-                    noise_contrastive(now, context, tokens[train], unigram, seed.as_py() + turn, touched)
+                    noise_contrastive(now, context, target, unigram, seed.as_py() + turn, touched)
                     steps += -(-len(context) // BATCH)
+            pa.default_memory_pool().release_unused()
         if not steps:
             return
         for kind, values, squares, n in ((0, now.r, now.squares_r, touched[0]), (1, now.q, now.squares_q, touched[1]), (2, now.m, np.repeat(now.squares_m, SIZE), np.full(SIZE, steps))):
@@ -335,14 +347,15 @@ def score(chunks: DataFrame, totals: DataFrame, model: Model) -> DataFrame:
         within = np.where(known, 0, np.log10((c + 1) / (1 + sums[np.maximum(symbols - len(words) - 1, 0)])))
         # the end is one word more
         codes, begins = sequence(unpacked(row["codes"]), sizes, len(own))
-        c, symbols, within = np.append(c, ends), np.append(symbols, len(words)), np.append(within, 0)
+        c, symbols, within = np.append(c, ends), np.append(symbols, np.int32(len(words))), np.append(within, 0)
         base = np.log10(c + 1) - np.log10(tokens + types + 1)
         s = symbols[codes]
-        before = np.concatenate(([len(words)], s[:-1]))
+        before = np.concatenate((np.array([len(words)], np.int32), s[:-1]))
         logs = within[codes]
         for at in range(0, len(s), 1 << 16):
             h, w = before[at : at + (1 << 16)], s[at : at + (1 << 16)]
             logs[at : at + (1 << 16)] += (np.einsum("ij,ij->i", contexts[h], targets[w, :-1]) + targets[w, -1] - z[h]) / math.log(10)
+        pa.default_memory_pool().release_unused()
         sums_of = lambda x: np.add.reduceat(x, begins)
         n = len(sizes)
         cols = [row["ids"].values, row["held"].values, pa.array((sizes + 1).astype(np.int64)), pa.array(sums_of((c > 0)[codes].astype(np.int64))), pa.array(np.full(n, tokens)), pa.array(sums_of(base[codes])), pa.array(sums_of(logs))]
