@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import re
 import unicodedata
 from dataclasses import dataclass, field
@@ -24,6 +25,7 @@ WORD = re.compile(rb"=\?(ISO-8859-1|ISO-2022-JP|UTF-8|EUC-JP|SHIFT_JIS|US-ASCII)
 ALLOWED = {(b"EUC-JP", b"B"), (b"SHIFT_JIS", b"B"), (b"ISO-8859-1", b"Q"), (b"ISO-8859-1", b"B"), (b"ISO-2022-JP", b"B"), (b"ISO-2022-JP", b"Q"), (b"UTF-8", b"B"), (b"UTF-8", b"Q"), (b"US-ASCII", b"Q")}
 LOOSE = re.compile(rb"=\?[\w\n\r -]{1,60}\?([BQbq])\?")
 BETWEEN = re.compile(rb"(?:[ \t]*\r?\n)?[ \t]+(?==\?)")
+CONTROLS, GROUPS = bytes(range(0x21)), re.compile(rb"[A-Za-z0-9+/]*={0,2}")
 BASE64 = {c: i for i, c in enumerate(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")} | {ord("-"): 62, ord("_"): 63}
 
 
@@ -204,6 +206,9 @@ def decode_words(data: bytes, plan: Plan) -> tuple[bytes, list[tuple[int, str, b
 
 def from_base64(body: bytes) -> bytes:
     """Base64 of either alphabet; = ends a group, blanks are passed over, other bytes go on counting from the nearest range."""
+    plain = body.translate(None, CONTROLS)
+    if len(plain) % 4 == 0 and GROUPS.fullmatch(plain):
+        return base64.b64decode(plain)
     bits, n, out = 0, 0, bytearray()
     for c in body:
         if c <= 0x20:
