@@ -296,6 +296,17 @@ def word_counts(chunks: DataFrame, ws: Workspace) -> DataFrame:
     return ws.write(each.groupBy("word").agg(F.sum("c").alias("c"), F.count("*").alias("chunks")), "totals")
 
 
+def most_frequent(seen: DataFrame, size: int) -> DataFrame:
+    """The ``size`` most frequent words (word, c), by word at ties; a histogram of counts finds from where on they are sorted."""
+    rank = F.floor(F.log2("c") * 16)
+    least, held = 0, 0
+    for k, n in sorted(((r.k, r.n) for r in seen.groupBy(rank.alias("k")).agg(F.count("*").alias("n")).collect()), reverse=True):
+        least, held = k, held + n
+        if held >= size:
+            break
+    return seen.where(rank >= least).orderBy(F.desc("c"), "word").limit(size).select("word", "c")
+
+
 def learn(chunks: DataFrame, totals: DataFrame) -> Model:
     """The model of the training texts. The driver gets the shortlist, the classes' sums and the parameters."""
     spark = chunks.sparkSession
@@ -303,7 +314,7 @@ def learn(chunks: DataFrame, totals: DataFrame) -> Model:
     seen = totals.where("c > 0")
     words, distinct = seen.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     size = min(MOST, max(FEWEST, int(GROWTH * math.sqrt(words + ends))))
-    top = seen.orderBy(F.desc("c"), "word").limit(size).select("word", "c").toArrow()
+    top = most_frequent(seen, size).toArrow()
     short, counts = top.column("word").to_pylist(), top.column("c").to_numpy().astype(np.int64)
     classes = size // 8
     sums, tokens = np.zeros(classes), np.zeros(classes)
