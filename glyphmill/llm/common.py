@@ -126,6 +126,10 @@ def partitions_for(total: int, each: int, least: int = 1) -> int:
     return max(least, -(-total // each))
 
 
+#: Edges up to which a counted graph is worked on by one task, without a shuffle (some 10 MB); a larger one by all.
+FEW_EDGES = 200_000
+
+
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root): the smallest node reachable from each node of ``edges`` (a, b: long).
 
@@ -134,15 +138,22 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """
     e = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     e = keep(e)
+    few = e.count() <= FEW_EDGES  # rounds never add edges
+
+    def held(df: DataFrame) -> DataFrame:
+        return df.coalesce(1) if few else df
+
     seen = None
     for _ in range(most_rounds):
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        e = held(e)
+        both = held(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(least, "a").where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
-        e = keep(small.select("a", F.col("m").alias("b")).unionByName(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct())
+        stars = held(small.select("a", F.col("m").alias("b")).unionByName(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))))
+        e = keep(stars.distinct())
         state = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             break

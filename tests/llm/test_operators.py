@@ -504,3 +504,25 @@ def test_workers_need_no_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
     assert "fine" in done.stdout, done.stderr[-2000:]
+
+
+@pytest.mark.parametrize("few", [0, 200_000])
+def test_connected_components(spark, few, monkeypatch):
+    """Long chains, stars and random graphs, by one task and by all."""
+    from glyphmill.llm import common
+
+    monkeypatch.setattr(common, "FEW_EDGES", few)
+    rng = random.Random(few)
+    edges = [(k, k + 1) for k in range(100)] + [(500, 500 + k) for k in range(1, 30)] + [(rng.randrange(1000, 1100), rng.randrange(1000, 1100)) for _ in range(70)] + [(7, 7), (3, 2)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    got = {r.node: r.root for r in common.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: find(x) for a, b in edges if a != b for x in (a, b)}
