@@ -35,14 +35,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, keep, workspace
+from .common import Workspace, give_back, keep, large_arrays_apart, workspace
 
 #: The model's width, noise words of a batch, pairs of a batch, the learning rate, and where the squares' sums begin.
 SIZE, NOISE, BATCH, RATE, BEGIN, SEED = 32, 128, 2048, 0.15, 100.0, 11
 #: Shortlist for the root of the tokens, its least and most words; rounds, and pairs that small corpora see at least.
 GROWTH, FEWEST, MOST, ROUNDS, LEAST = 2.0, 256, 1 << 18, 3, 6_000_000
-#: Bytes of text in a chunk; rows of parameters that are averaged together.
-CHUNK, ROWS = 16 << 20, 512
+#: Bytes of text in a chunk; rows of parameters that are averaged together, and that a task sends at once.
+CHUNK, ROWS, SENT = 16 << 20, 512, 1 << 13
 
 
 class Parameters(NamedTuple):
@@ -94,8 +94,10 @@ class Chunk:
 
     def row(self) -> pa.RecordBatch:
         words = pa.chunked_array(self.words).unify_dictionaries()
+        self.words = []
         dictionary, n = words.chunk(0).dictionary, len(words.chunk(0).dictionary)
         codes = np.concatenate([w.indices.to_numpy() for w in words.chunks])
+        del words
         held, sizes = np.concatenate(self.held), np.concatenate(self.sizes)
         often = np.argsort(-np.bincount(codes, minlength=n), kind="stable")  # small numbers for frequent words
         number = np.empty(n, np.int32)
@@ -105,39 +107,46 @@ class Chunk:
         one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
         body = packed(codes)
         cols = [
-            pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([zlib.crc32(body)], pa.int64()), one(pa.concat_arrays(self.ids)), one(pa.array(held)),
-            one(pa.array(sizes)), one(dictionary.take(pa.array(often)).cast(pa.binary())), one(pa.array(counts.astype(np.int64))), pa.array([body], pa.binary()),
+            pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([zlib.crc32(codes.tobytes())], pa.int64()), one(pa.concat_arrays(self.ids)), one(pa.array(held)),
+            one(pa.array(sizes)), one(dictionary.take(pa.array(often)).cast(pa.binary())), one(pa.array(counts.astype(np.int32))), pa.array([body], pa.binary()),
         ]
         return pa.RecordBatch.from_arrays(cols, ["chunk", "seed", "ids", "held", "sizes", "words", "counts", "codes"])
 
 
 def packed(codes: np.ndarray) -> bytes:
-    """Numbers as four planes of bytes, the high ones nearly empty, which compress."""
-    return codes.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """Numbers as four planes of bytes, the high ones nearly empty, compressed here: the JVM copies what it gets several times."""
+    return pa.compress(codes.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), "lz4", asbytes=True)
 
 
-def unpacked(body: pa.BinaryScalar) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(body.as_buffer(), np.uint8).reshape(4, -1).T).view("<i4")[:, 0]
+def unpacked(body: pa.BinaryScalar, n: int) -> np.ndarray:
+    """The n packed numbers."""
+    planes = pa.decompress(body.as_buffer(), 4 * n, "lz4")
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, n).T).view("<i4")[:, 0]
 
 
 def chunked(rows: DataFrame) -> DataFrame:
     """The texts (id, held, text) in chunks; a chunk's number is random, and fixed once the table is written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        large_arrays_apart()
         now = Chunk()
         for b in batches:
             if len(b):
                 now.add(b.column(0), b.column(1).to_numpy(zero_copy_only=False), b.column(2))
             if now.bytes >= CHUNK:
-                yield now.row()
-                now = Chunk()
-                pa.default_memory_pool().release_unused()
+                row, now = now.row(), Chunk()  # what the row was made of goes before it is sent
+                give_back()
+                yield row
+                del row
         if now.ids:
-            yield now.row()
-        pa.default_memory_pool().release_unused()
+            row, now = now.row(), None
+            give_back()
+            yield row
+            del row
+        give_back()
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "held", "text").mapInArrow(run, f"chunk long, seed long, ids array<{kind}>, held array<boolean>, sizes array<int>, words array<binary>, counts array<long>, codes binary")
+    return rows.select("id", "held", "text").mapInArrow(run, f"chunk long, seed long, ids array<{kind}>, held array<boolean>, sizes array<int>, words array<binary>, counts array<int>, codes binary")
 
 
 def class_of(words: pa.Array, classes: int) -> np.ndarray:
@@ -221,6 +230,7 @@ def averaged(p: Parameters, trained: DataFrame) -> Parameters:
     """Parameters from rows (kind, row, n, x) of tasks: means weighted by n."""
 
     def mean(t: pa.Table) -> pa.Table:
+        large_arrays_apart()
         n, row = t.column("n").to_numpy(), t.column("row").to_numpy()
         x = np.frombuffer(b"".join(t.column("x").to_pylist()), np.float32).reshape(len(t), -1)
         rows, total = _summed(row, np.hstack((x.astype(np.float64) * n[:, None], n[:, None])))
@@ -246,6 +256,7 @@ def trained(chunks: DataFrame, p: Parameters, short: list[bytes], classes: int,
     sent = chunks.sparkSession.sparkContext.broadcast((tuple(p), short, unigram))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        large_arrays_apart()
         begun, short, unigram = sent.value
         now, words = Parameters(*(x.copy() for x in begun)), pa.array(short, pa.binary())
         touched, steps = tuple(np.zeros(len(unigram), np.int64) for _ in range(2)), 0
@@ -254,19 +265,22 @@ def trained(chunks: DataFrame, p: Parameters, short: list[bytes], classes: int,
                 seed, held, sizes, own, codes = (b.column(i)[k] for i in range(5))
                 sizes, held = sizes.values.to_numpy(), held.values.to_numpy(zero_copy_only=False)
                 symbols, _ = symbols_of(own.values, words, classes)
-                tokens, begins = sequence(symbols[unpacked(codes)], sizes, len(short))
+                tokens, begins = sequence(symbols[unpacked(codes, sizes.sum())], sizes, len(short))
                 train = np.repeat(~held, sizes + 1)
                 context, target = np.concatenate((np.array([len(short)], np.int32), tokens[:-1]))[train], tokens[train]
                 for turn in range(passes):
                     noise_contrastive(now, context, target, unigram, seed.as_py() + turn, touched)
                     steps += -(-len(context) // BATCH)
-            pa.default_memory_pool().release_unused()
+                del own, codes, symbols, tokens, begins, train, context, target
+            give_back()
         if not steps:
             return
         for kind, values, squares, n in ((0, now.r, now.squares_r, touched[0]), (1, now.q, now.squares_q, touched[1]), (2, now.m, np.repeat(now.squares_m, SIZE), np.full(SIZE, steps))):
-            at = np.flatnonzero(n)
-            x = np.hstack((values[at], squares[at][:, None])).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind), pa.int32()), pa.array(at, pa.int32()), pa.array(n[at].astype(float)), pa.array([v.tobytes() for v in x], pa.binary())], ["kind", "row", "n", "x"])
+            all_at = np.flatnonzero(n)
+            for first in range(0, len(all_at), SENT):
+                at = all_at[first : first + SENT]
+                x = np.hstack((values[at], squares[at][:, None])).astype(np.float32)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind), pa.int32()), pa.array(at, pa.int32()), pa.array(n[at].astype(float)), pa.array([v.tobytes() for v in x], pa.binary())], ["kind", "row", "n", "x"])
 
     return chunks.select("seed", "held", "sizes", "words", "codes").mapInArrow(run, "kind int, row int, n double, x binary")
 
@@ -277,6 +291,7 @@ def normalisers(spark: SparkSession, p: Parameters) -> np.ndarray:
     rows = max(1, (4 << 20) // n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        large_arrays_apart()
         contexts, q = sent.value
         for b in batches:
             for k in b.column(0).to_pylist():
@@ -348,16 +363,17 @@ def score(chunks: DataFrame, totals: DataFrame, model: Model) -> DataFrame:
     kind = chunks.schema["ids"].dataType.elementType.simpleString()
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        large_arrays_apart()
         words, short_counts, sums, tokens, types, ends, contexts, targets, z = sent.value
         row = {c: left.column(c)[0] for c in left.column_names}
         own, sizes = row["words"].values, row["sizes"].values.to_numpy()
         symbols, known = symbols_of(own, pa.array(words, pa.binary()), len(sums))
-        c = row["counts"].values.to_numpy().copy()
+        c = row["counts"].values.to_numpy().astype(np.int64)
         c[right.column("k").to_numpy()] = right.column("c").to_numpy()
         c[known] = short_counts[symbols[known]]
         within = np.where(known, 0, np.log10((c + 1) / (1 + sums[np.maximum(symbols - len(words) - 1, 0)])))
         # the end is one word more
-        codes, begins = sequence(unpacked(row["codes"]), sizes, len(own))
+        codes, begins = sequence(unpacked(row["codes"], sizes.sum()), sizes, len(own))
         c, symbols, within = np.append(c, ends), np.append(symbols, np.int32(len(words))), np.append(within, 0)
         base = np.log10(c + 1) - np.log10(tokens + types + 1)
         s = symbols[codes]
@@ -366,10 +382,14 @@ def score(chunks: DataFrame, totals: DataFrame, model: Model) -> DataFrame:
         for at in range(0, len(s), 1 << 16):
             h, w = before[at : at + (1 << 16)], s[at : at + (1 << 16)]
             logs[at : at + (1 << 16)] += (np.einsum("ij,ij->i", contexts[h], targets[w, :-1]) + targets[w, -1] - z[h]) / math.log(10)
-        pa.default_memory_pool().release_unused()
+        del s, before
         sums_of = lambda x: np.add.reduceat(x, begins)
-        n = len(sizes)
-        cols = [row["ids"].values, row["held"].values, pa.array((sizes + 1).astype(np.int64)), pa.array(sums_of((c > 0)[codes].astype(np.int64))), pa.array(np.full(n, tokens)), pa.array(sums_of(base[codes])), pa.array(sums_of(logs))]
+        n, score = len(sizes), sums_of(logs)
+        del logs
+        known_of, base_of = sums_of((c > 0)[codes].astype(np.int64)), sums_of(base[codes])
+        del codes
+        cols = [row["ids"].values, row["held"].values, pa.array((sizes + 1).astype(np.int64)), pa.array(known_of), pa.array(np.full(n, tokens)), pa.array(base_of), pa.array(score)]
+        give_back()
         return pa.table(cols, ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     both = chunks.drop("seed").groupBy("chunk").cogroup(counts.groupBy("of"))

@@ -224,6 +224,21 @@ def test_language_model_by_definition(spark, rows, chunk, monkeypatch):
         assert x[:3] == y[:3] and math.isclose(x[3], y[3], rel_tol=1e-4)
 
 
+def test_language_model_batches_are_bounded(spark):
+    """What a chunk sends grows with its tokens by some two bytes each, a task's parameters go in slices, and batches of texts are small."""
+    from glyphmill.llm import common
+
+    rng = np.random.default_rng(3)
+    codes = np.minimum(rng.zipf(1.3, 300_000), 200_000).astype(np.int32)
+    body = language_model.packed(codes)
+    assert len(body) < 2.5 * len(codes)
+    assert (language_model.unpacked(pa.scalar(body, pa.binary()), len(codes)) == codes).all()
+    assert not len(language_model.unpacked(pa.scalar(language_model.packed(codes[:0]), pa.binary()), 0))
+    assert language_model.SENT * (4 * (language_model.SIZE + 2) + 16) <= common.BATCH_BYTES <= 4 << 20
+    common.large_arrays_apart()
+    common.give_back()
+
+
 def test_language_model_learns(spark):
     rows = language_model.op2_language_model(spark, "/root/testdata/sf0.01").where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b"), F.sum("n_tokens").alias("n")).first()
     assert rows.s > rows.b + 0.05 * rows.n  # bits saved on texts never seen
