@@ -190,7 +190,8 @@ def guess_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(F.lit("これはかなのぶんしょうです"), F.regexp_replace(in_kana(F.col("text"), HIRA), "[^あ-の\n]", ""))
     written = F.lit(None).cast("binary")
     for k, flag in out.items():
-        written = F.when(F.col("doc_id") % 5 == k, C.transcode(text, "-W", flag, "-m0", "-x")).otherwise(written)
+        mine = F.col("doc_id") % 5 == k  # a condition doesn't keep rows from a Python function, nulls do
+        written = F.when(mine, C.transcode(F.when(mine, text), "-W", flag, "-m0", "-x")).otherwise(written)
     guess = C.guess_detail(written)
     return documents(spark, sf_dir).select("doc_id", guess["encoding"].alias("encoding"), guess["eol"].alias("eol"))
 

@@ -32,6 +32,19 @@ def test_nulls_and_empty(spark):
     assert rows[1].g.encoding == "ASCII"
 
 
+def test_python_gets_few_texts_at_once(spark):
+    """Columns lower the session's batches, and the five conversions of guess_documents share a worker."""
+    for key in ("maxRecordsPerBatch", "maxBytesPerBatch"):
+        spark.conf.unset(f"spark.sql.execution.arrow.{key}")
+    for make in (C.transcode, C.guess_detail):
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        make("b", "-S")
+        assert 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("B")) <= 4 << 20
+    plan = Q.guess_documents(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") + plan.count("ArrowEvalPython (") + plan.count("ArrowEvalPython(") <= 2, plan  # a worker process each
+
+
 def test_native_path_equals_kernel(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet")
     from glyphmill.plans.plan import compile_plan
