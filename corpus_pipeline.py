@@ -30,8 +30,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return similar.drop_near_duplicates(docs)
+    """One document of each group stays that op4's fingerprints or a similarity of 0.8 of the shingles connect."""
+    return similar.drop_near_duplicates(docs, fingerprints=True)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,8 @@
 Texts of equal SimHash of their shingles (``WIDE`` 64-bit parts) are one class. Candidates among the classes come from a
 prefix-filtered join: shingles have one order for all texts, and of g shingles the first g - ceil(0.8 g) + 1 are a text's
 prefix. Two texts of similarity 0.8 or more share a shingle of their prefixes, whatever the order, so no pair is lost.
-(Three of 64 bits, the narrow operator's limit, would ask for 0.97.)
+(Three of 64 bits, the narrow operator's limit, would ask for 0.97.) If asked for, as in the pipeline, what that operator links
+(its fingerprints, grids, range join, Hamming check and components) is linked as well, and chains of both links connect.
 
 Candidates are thinned out by the embedding of the narrow operator, made of the shingles themselves: their hashes fall
 into ``SEGMENTS`` segments, and the Manhattan distance of two texts' counts by segment is a lower bound of the number of
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Workspace, boxed, connected_components, if_small, keep, unboxed, workspace
-from .simhash import CROWD
+from .simhash import CROWD, hamming_links, simhash
 
 #: 64-bit parts of a hash and words of a shingle.
 WIDE, SHINGLE = 8, 5
@@ -112,7 +113,7 @@ def frequent(docs: DataFrame, text_col: str) -> np.ndarray:
 
 
 def _prints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, th, c, g, p, m): id, hash of the text, class (a hash of the SimHash), number of shingles, those of the prefix, and counts by segment."""
+    """(doc, th, c, g, p, m, fp): id, hash of the text, class (a hash of the SimHash), number of shingles, those of the prefix, counts by segment, and the narrow operator's fingerprint."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent(docs, text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,11 +121,12 @@ def _prints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             grams = [gram_hashes(t) for t in b.column(2).to_pylist()]
             wide = pa.array([xxhash.xxh3_64_intdigest(np.array(_wide(x), np.int64).tobytes()) - (1 << 63) for x in grams], pa.int64())
             first = pa.array([prefix(x, sent.value).view(np.int64) for x in grams], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), wide, pa.array([len(x) for x in grams], pa.int32()), first, pa.array([segment_counts(x) for x in grams], pa.binary())], ["doc", "th", "c", "g", "p", "m"])
+            narrow = pa.array([simhash(t) for t in b.column(2).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), wide, pa.array([len(x) for x in grams], pa.int32()), first, pa.array([segment_counts(x) for x in grams], pa.binary()), narrow], ["doc", "th", "c", "g", "p", "m", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
-    return docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("th"), text.alias("text")).mapInArrow(run, f"doc {kind}, th long, c long, g int, p array<long>, m binary")
+    return docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("th"), text.alias("text")).mapInArrow(run, f"doc {kind}, th long, c long, g int, p array<long>, m binary, fp long")
 
 
 def _segments(column: pa.ChunkedArray) -> np.ndarray:
@@ -315,8 +317,22 @@ def links(cells: DataFrame, classes: DataFrame, texts: DataFrame, ws: Workspace)
     return crowd_links(rows, roots, classes, texts)
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without all but one document of each group of near-duplicates."""
+def with_fingerprints(roots: DataFrame, prints: DataFrame, ws: Workspace) -> DataFrame:
+    """(node, root): roots, and the links of classes of which the narrow operator connects fingerprints: popcount grids, range join, Hamming distance, components."""
+    pairs = ws.write(prints.select("fp", "c").distinct(), "pairs")
+    trees = connected_components(hamming_links(pairs.select("fp").distinct()))
+    held = pairs.join(trees.withColumnRenamed("node", "fp"), "fp", "left").select("c", F.coalesce("root", "fp").alias("tree"))
+    held = held.join(roots.withColumnRenamed("node", "c"), "c", "left").select("tree", F.coalesce("root", "c").alias("c")).distinct()
+    held = keep(held)
+    least = held.groupBy("tree").agg(F.min("c").alias("a"), F.count("*").alias("n")).where("n > 1")
+    new = keep(held.join(least, "tree").where("a <> c").select("a", F.col("c").alias("b")))
+    if new.isEmpty():
+        return roots
+    return connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(new))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fingerprints: bool = False) -> DataFrame:
+    """``docs`` without all but one document of each group of near-duplicates; with fingerprints, those that op4's operator links are too."""
     spark = docs.sparkSession
     text = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
     with workspace(spark, "similar") as ws:
@@ -325,6 +341,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         classes = ws.write(full.drop("p"), "classes")
         cells = full.select("c", "g", F.posexplode("p").alias("at", "cell"))
         roots = links(cells, classes, docs.select(F.xxhash64(text).alias("th"), text.alias("text")), ws)
+        if fingerprints:
+            roots = with_fingerprints(roots, prints, ws)
         ws.release()
         rooted = keep(classes.select("c", "best").join(roots.withColumnRenamed("node", "c"), "c", "left").select("c", F.coalesce("root", "c").alias("root"), "best"))
         stays = rooted.groupBy("root").agg(F.min("best").alias("stay"))

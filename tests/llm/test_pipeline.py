@@ -38,3 +38,18 @@ def test_decisions(spark):
     clean = {i for i, *_, hit in brute.contamination(rows, items) if not hit}
     assert {r.doc_id for r in P.drop_contaminated(spark, docs, SF).collect()} == clean
     assert P.run(spark, SF).where(F.col("epochs") < 1).count() == 0
+
+
+def test_near_copies_by_fingerprints(spark):
+    """What op4 links goes in the pipeline too, though few distinct shingles are shared; so does what only shingles link, and chains of both."""
+    from glyphmill.llm import similar, simhash
+
+    tail = lambda k: " ".join(f"t{k}w{i}" for i in range(12))
+    often = "x y z w v " * 100
+    long = [f"word{i}" for i in range(60)]
+    rows = [(1, often + tail(1)), (2, often + tail(2)), (3, " ".join(long)), (4, " ".join([*long[:-1], "last"])), (5, "quite another text of some words " + tail(5))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    component = {r.doc: r.component for r in simhash.near_duplicates(docs).collect()}
+    assert component[2] == 1 and component[5] == 5
+    assert {r.doc_id for r in similar.drop_near_duplicates(docs).collect()} == {1, 2, 3, 5}
+    assert {r.doc_id for r in P.drop_near_copies(spark, docs, SF).collect()} == {1, 3, 5}
