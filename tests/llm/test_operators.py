@@ -541,3 +541,20 @@ def test_connected_components(spark, few, monkeypatch):
         root[max(x, y)] = min(x, y)
     got = {r.node: r.root for r in common.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for a, b in edges if a != b for x in (a, b)}
+
+
+def test_components_of_few_edges_take_few_jobs(spark):
+    """A counted graph of few edges isn't worked on in rounds, whose queries fill the driver's memory: a long chain takes as many jobs as one edge."""
+    from glyphmill.llm import common
+
+    def jobs(edges):
+        spark.sparkContext.setJobGroup(name := f"components-{len(edges)}", "")
+        try:
+            got = {r.node: r.root for r in common.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        finally:
+            spark.sparkContext.setJobGroup("others", "")
+        assert got == {x: -5 for e in edges for x in e}
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    assert jobs([(k, k + 1) for k in range(-5, 600)]) == jobs([(-5, -4)]) <= 8
+    assert common.connected_components(spark.createDataFrame([(7, 7)], "a long, b long")).count() == 0
