@@ -120,6 +120,23 @@ def test_suffixes_other_lengths(spark, rows, docs, length, monkeypatch):
     assert ordered(got) == ordered(brute.suffixes(rows, length))
 
 
+@pytest.mark.parametrize("size", [399, 400])
+def test_suffixes_of_passages(spark, size):
+    """Passages of 60 words in three otherwise different documents: bytes decide, so that 400 go and 399 stay."""
+    rng = random.Random(size)
+    some = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    passage = "é" + some(60)
+    passage += "é" * (size - 1 - len(passage.encode()) >> 1)
+    passage += "x" * (size - len(passage.encode()))
+    ends = [(f"{some(80)} {k}", f"{k} {some(80)}") for k in range(3)]
+    rows = [(k, a + passage + z) for k, (a, z) in enumerate(ends)]
+    assert len(passage.encode()) == size and len(passage.split()) == 60
+    out = suffix_dedup.drop_repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = ordered(out.select("doc_id", "_n_bytes", "_n_removed", "_n_spans", F.sha2("_kept", 256)).collect())
+    kept = [a + z for a, z in ends] if size == 400 else [x for _, x in rows]
+    assert got == ordered((k, len(x.encode()), *((400, 1) if size == 400 else (0, 0)), brute.sha(y.encode())) for (k, x), y in zip(rows, kept, strict=True))
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_induced_sorting(seed, monkeypatch):
     rng = random.Random(seed)
